@@ -40,11 +40,13 @@ def sig_sql(x: str, digits: int = 8) -> str:
     return f"((CASE {' '.join(parts)} ELSE {x} END) + CAST(0 AS DOUBLE))"
 
 
-def round_sig(df: DataFrame, cols: Sequence[str], digits: int = 8) -> DataFrame:
-    """Apply :func:`sig_sql` to the named double columns."""
+def round_sig(df: DataFrame, cols: Sequence[str | tuple[str, int]], digits: int = 8) -> DataFrame:
+    """Apply :func:`sig_sql` to the named double columns; an entry may be
+    ``(name, digits)`` to override the precision for that column."""
     if not cols:
         return df
-    return df.withColumns({c: F.expr(sig_sql(f"`{c}`", digits)) for c in cols})
+    spec = dict(c if isinstance(c, tuple) else (c, digits) for c in cols)
+    return df.withColumns({c: F.expr(sig_sql(f"`{c}`", d)) for c, d in spec.items()})
 
 
 # --------------------------------------------------------------------------

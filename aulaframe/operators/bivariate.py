@@ -142,7 +142,8 @@ def iqr_overlap(box: DataFrame, by: str, order: str | None = None, key: str = "m
     def ov(q1a, q3a, q1b, q3b):
         inter = F.greatest(F.lit(0.0), F.least(q3a, q3b) - F.greatest(q1a, q1b))
         union = F.greatest(q3a, q3b) - F.least(q1a, q1b)
-        return F.when(union == 0, F.when(inter >= 0, F.lit(1.0))).otherwise(inter / union)
+        known = q1a.isNotNull() & q3a.isNotNull() & q1b.isNotNull() & q3b.isNotNull()
+        return F.when(known, F.when(union == 0, F.lit(1.0)).otherwise(inter / union))
 
     b = box.select(key, by, order, "q1", "q3") if order != by else box.select(key, by, "q1", "q3")
     out = b.select(

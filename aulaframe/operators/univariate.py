@@ -140,6 +140,16 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataF
     return out.filter((F.col("bucket").between(1, bins)) | (F.col("n") > 0))
 
 
+def quartile_table(long: DataFrame, by: str | Sequence[str] | None = None,
+                   value: str = "score", key: str = "module", approx: bool = False) -> DataFrame:
+    """Q1, median, Q3 per group and module (one aggregation)."""
+    keys = _cols(by) + [key]
+    return (long.groupBy(*keys)
+            .agg(quantiles(value, QUARTILES, approx).alias("_q"))
+            .select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+                    F.col("_q")[2].alias("q3")))
+
+
 def box_stats(long: DataFrame, by: str | Sequence[str] | None = None,
               value: str = "score", key: str = "module", k: float = 1.5,
               approx: bool = False) -> DataFrame:
@@ -151,10 +161,7 @@ def box_stats(long: DataFrame, by: str | Sequence[str] | None = None,
     evaluates the fences with conditional aggregates.
     """
     keys = _cols(by) + [key]
-    q = (long.groupBy(*keys)
-         .agg(quantiles(value, QUARTILES, approx).alias("_q"))
-         .select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3")))
+    q = quartile_table(long, by, value, key, approx)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - F.lit(k) * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + F.lit(k) * F.col("iqr"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from aulaframe.operators import univariate as U
-from aulaframe.plans.registry import register
+from aulaframe.plans.registry import grid, register
 from aulaframe.plans.views import SCORE_FACT_SQL, SCORE_LONG_SQL, score_fact, score_long
 
 SF = (SCORE_FACT_SQL,)
@@ -54,13 +54,13 @@ def concentration_departments(spark, sf_dir):
     return U.concentration(score_fact(spark, sf_dir), "department")
 
 
-@register("describe_modules", floats=("mean", "sd", "min", "q1", "median", "q3", "max"),
+@register("describe_modules", floats=("mean", "sd") + grid("min", "q1", "median", "q3", "max"),
           ctes=SL + (DESCRIBE_SQL,), sql="SELECT * FROM desc_m")
 def describe_modules(spark, sf_dir):
     return U.describe(score_long(spark, sf_dir))
 
 
-@register("spread_rank", floats=("mean", "sd", "iqr", "range", "cv"), ctes=SL + (DESCRIBE_SQL,), sql="""
+@register("spread_rank", floats=("mean", "sd", "cv") + grid("iqr", "range"), ctes=SL + (DESCRIBE_SQL,), sql="""
 SELECT module, mean, sd, q3 - q1 AS iqr, max - min AS range, sd / nullif(mean, 0) AS cv,
   CAST(rank() OVER (ORDER BY q3 - q1 DESC, module) AS BIGINT) AS rank_iqr,
   CAST(rank() OVER (ORDER BY sd DESC, module) AS BIGINT) AS rank_sd,
@@ -81,7 +81,7 @@ def module_gap(spark, sf_dir):
     return U.module_gap(U.describe(score_long(spark, sf_dir)))
 
 
-@register("histogram", floats=("lo", "hi"), ctes=SF, sql="""
+@register("histogram", floats=grid("lo", "hi"), ctes=SF, sql="""
 SELECT g.bucket,
        CASE WHEN g.bucket BETWEEN 1 AND 10 THEN 0.0 + (g.bucket - 1) * 5.0 END AS lo,
        CASE WHEN g.bucket BETWEEN 1 AND 10 THEN 0.0 + g.bucket * 5.0 END AS hi,
@@ -97,7 +97,7 @@ def histogram(spark, sf_dir):
     return U.histogram(score_fact(spark, sf_dir), "module1", 0.0, 50.0, 10)
 
 
-BOX_COLS = ("q1", "median", "q3", "iqr", "lo_fence", "hi_fence", "whisker_lo", "whisker_hi", "min", "max")
+BOX_COLS = grid("q1", "median", "q3", "iqr", "lo_fence", "hi_fence", "whisker_lo", "whisker_hi", "min", "max")
 
 
 def box_sql(keys: str) -> str:
@@ -128,7 +128,7 @@ trend_y AS (
 )"""
 
 
-@register("yearly_means", floats=("mean", "median"), ctes=SL + (TREND_SQL,), sql="SELECT * FROM trend_y")
+@register("yearly_means", floats=("mean",) + grid("median"), ctes=SL + (TREND_SQL,), sql="SELECT * FROM trend_y")
 def yearly_means(spark, sf_dir):
     return U.trend(score_long(spark, sf_dir), "year")
 

@@ -34,7 +34,8 @@ class Analysis:
         parts = [c.strip() for c in self.ctes] + [f"__q AS (\n{self.body.strip()}\n)"]
         sel = "*"
         if self.floats:
-            rep = ", ".join(f"{sig_sql(f'\"{c}\"')} AS \"{c}\"" for c in self.floats)
+            spec = [c if isinstance(c, tuple) else (c, 8) for c in self.floats]
+            rep = ", ".join(f"{sig_sql(f'\"{c}\"', d)} AS \"{c}\"" for c, d in spec)
             sel = f"* REPLACE ({rep})"
         return "WITH " + ",\n".join(parts) + f"\nSELECT {sel} FROM __q"
 
@@ -42,6 +43,14 @@ class Analysis:
 REGISTRY: dict[str, Analysis] = {}
 
 
+def grid(*names: str) -> tuple[tuple[str, int], ...]:
+    """Columns whose exact values sit on the data's decimal grid (quantiles,
+    fences, extremes of 2-decimal inputs): they carry only a few ulps of
+    noise, so they are rounded at 12 significant digits, well below the
+    grid, where no rounding tie can occur."""
+    return tuple((n, 12) for n in names)
+
+
 def register(name: str, sql: str | None = None, ctes: Sequence[str] = (),
              floats: Sequence[str] = ()):
     """Decorator registering ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
