@@ -34,9 +34,14 @@ def sig_sql(x: str, digits: int = 8) -> str:
     folding |x| < 1e-9 and -0.0 to 0.0) makes results comparable. ``round``
     needs a constant scale, hence one branch per decade.
     """
-    parts = [f"WHEN abs({x}) < 1e-9 THEN CAST(0 AS DOUBLE)"]
+    # Exact decimal ties (e.g. the mean of a few 2-decimal amounts ending in
+    # ...5) would be decided by last-bit noise; a relative nudge of 1e-12,
+    # larger than that noise and far below the rounding step, makes both
+    # engines resolve them the same way.
+    y = f"({x} * CAST(1.000000000001 AS DOUBLE))" if digits <= 9 else x
+    parts = [f"WHEN abs({y}) < 1e-9 THEN CAST(0 AS DOUBLE)"]
     for k in range(-9, 17):
-        parts.append(f"WHEN abs({x}) < 1e{k + 1} THEN round({x}, {digits - 1 - k})")
+        parts.append(f"WHEN abs({y}) < 1e{k + 1} THEN round({y}, {digits - 1 - k})")
     return f"((CASE {' '.join(parts)} ELSE {x} END) + CAST(0 AS DOUBLE))"
 
 

@@ -242,6 +242,45 @@ token_map AS (
 )"""
 
 
+# -------------------------------------------------------------- budget_cells
+
+BLOCK_SHEET = "Cuadro 2"
+BLOCK_HEADER_ROW = 4
+
+
+def budget_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheet cell grid (file, sheet, row, col, value) of monthly reports:
+    per month ('YYYY-MM' file), sheet 'Cuadro 2' has a header row 4
+    (ENTIDAD | EJECUCION | REGISTROS) and one row per nation (name, amount,
+    order count); a decoy sheet 'Cuadro 1' holds counts without that header."""
+    t = Tables(spark, sf_dir)
+    o = t.orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("file"), "o_custkey",
+                        money("o_totalprice").alias("amt"))
+    c = t.customer.select("c_custkey", "c_nationkey")
+    n = F.broadcast(t.nation.select("n_nationkey", "n_name"))
+    agg = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+           .groupBy("file", "n_nationkey", "n_name")
+           .agg(F.sum("amt").alias("amount"), F.count(F.lit(1)).alias("cnt")))
+
+    def cell(col, value):
+        return F.struct(F.lit(col).alias("col"), value.cast("string").alias("value"))
+
+    data = agg.select("file", F.lit(BLOCK_SHEET).alias("sheet"),
+                      (F.lit(BLOCK_HEADER_ROW + 1) + F.col("n_nationkey")).alias("row"),
+                      F.inline(F.array(cell(1, F.col("n_name")), cell(2, F.col("amount")),
+                                       cell(3, F.col("cnt")))))
+    decoy = agg.select("file", F.lit("Cuadro 1").alias("sheet"),
+                       (F.lit(2) + F.col("n_nationkey")).alias("row"),
+                       F.inline(F.array(cell(1, F.col("n_name")), cell(2, F.col("cnt")))))
+    files = agg.select("file").distinct()
+    header = files.select("file", F.lit(BLOCK_SHEET).alias("sheet"), F.lit(BLOCK_HEADER_ROW).alias("row"),
+                          F.inline(F.array(cell(1, F.lit("ENTIDAD")), cell(2, F.lit("EJECUCION")),
+                                           cell(3, F.lit("REGISTROS")))))
+    dheader = files.select("file", F.lit("Cuadro 1").alias("sheet"), F.lit(1).alias("row"),
+                           F.inline(F.array(cell(1, F.lit("RESUMEN")))))
+    return data.unionByName(decoy).unionByName(header).unionByName(dheader)
+
+
 # ------------------------------------------------------------ partial_labels
 
 def partial_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
