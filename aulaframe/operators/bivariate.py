@@ -13,6 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aulaframe.operators.ranking import rows_below
 from aulaframe.operators.univariate import _cols, quantiles
 
 # Conventional effect-size cut points (Cohen); parameters,
@@ -247,36 +248,11 @@ def peaks_with_n(peaks: DataFrame, key: str = "module", q: float = 0.25) -> Data
 
 def percentile_in(df: DataFrame, col: str, by: str | Sequence[str] | None = None,
                   buckets: int = 64, out: str = "pct_rank") -> DataFrame:
-    """Exact ``percent_rank`` of ``col`` (nationally or within ``by``)
-    without moving a whole group into one task.
-
-    1. count rows per distinct value (and group);
-    2. cut the value axis into ``buckets`` ranges at approximate quantiles
-       (a few dozen boundaries collected to the driver);
-    3. per (group, bucket): total rows; a small window over these totals
-       gives each bucket's offset;
-    4. within (group, bucket): running count over distinct values;
-    5. rows below = offset + running - count; rank = below / (n - 1),
-       joined back on (group, value).
-    """
+    """Exact ``percent_rank`` of ``col`` (nationally or within ``by``):
+    (rows strictly below) / (n - 1), from :func:`rows_below`, which never
+    moves a whole group into one task; joined back on (group, value)."""
     keys = _cols(by)
-    x = F.col(col)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), 1000)).first()[0] or []
-    bounds = sorted({float(b) for b in bounds if b is not None})
-    # bucket = number of boundaries <= value (the list is bounded by ``buckets``)
-    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
-    bucket = F.size(F.filter(arr, lambda b: b <= x))
-    dv = df.filter(x.isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c")) \
-        .withColumn("_b", bucket)
-    tot = dv.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bt"))
-    wg = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
-    tot = tot.select(*keys, "_b",
-                     (F.sum("_bt").over(wg.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bt")).alias("_off"),
-                     F.sum("_bt").over(Window.partitionBy(*keys) if keys else Window.partitionBy()).alias("_n"))
-    wb = Window.partitionBy(*keys, "_b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = dv.withColumn("_run", F.sum("_c").over(wb)).join(tot, keys + ["_b"])
-    below = F.col("_off") + F.col("_run") - F.col("_c")
-    ranked = ranked.select(*keys, col, F.when(F.col("_n") > 1, below / (F.col("_n") - 1))
-                           .otherwise(F.lit(0.0)).alias(out))
-    return df.join(ranked, keys + [col], "left")
+    r = rows_below(df, col, keys, buckets)
+    r = r.select(*keys, col, F.when(F.col("_n") > 1, F.col("_below") / (F.col("_n") - 1))
+                 .otherwise(F.lit(0.0)).alias(out))
+    return df.join(r, keys + [col], "left")

@@ -33,11 +33,14 @@ def sector_filter(spark, sf_dir):
 BLOCK_LABEL = "NATION_7"
 
 
-@register("block_extract", sql=f"""
+BLOCK_SQL = f"""
 SELECT strftime(o_orderdate, '%Y-%m') AS file, '{BLOCK_SHEET}' AS sheet, {BLOCK_HEADER_ROW + 1} + n_nationkey AS row,
        n_name AS name, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount, count(*) AS n
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-WHERE n_name = '{BLOCK_LABEL}' GROUP BY 1, 2, 3, 4""")
+WHERE n_name = '{BLOCK_LABEL}' GROUP BY 1, 2, 3, 4"""
+
+
+@register("block_extract", sql=BLOCK_SQL)
 def block_extract(spark, sf_dir):
     b = C.extract_block(budget_cells(spark, sf_dir), "^EJECUCION$", 1, BLOCK_LABEL, 3)
     return b.select("file", "sheet", "row", F.col("c1").alias("name"),

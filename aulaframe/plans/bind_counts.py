@@ -1 +1,115 @@
-"""Bindings (filled in per family)."""
+"""Count-table analyses (#85-92) on the funnel view and the base tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from aulaframe.operators import budget as BU
+from aulaframe.operators import counts as K
+from aulaframe.plans.registry import register
+from aulaframe.plans.views import (BUDGET_MONTH_SQL, FUNNEL_LONG_SQL, FUNNEL_ORDER, SCORE_FACT_SQL,
+                                   budget_month, funnel_long, score_fact)
+from aulaframe.sources.tables import Tables
+
+FL = (FUNNEL_LONG_SQL,)
+
+
+@register("counts_rollup", ctes=FL, sql="""
+SELECT category, day, CAST(sum(n) AS BIGINT) AS total, CAST(grouping(category, day) AS BIGINT) AS level
+FROM funnel_long GROUP BY ROLLUP (category, day)""")
+def counts_rollup(spark, sf_dir):
+    return K.rollup_counts(funnel_long(spark, sf_dir), ["category", "day"])
+
+
+@register("counts_grouping_sets", ctes=FL, sql="""
+SELECT category, user_id, CAST(sum(n) AS BIGINT) AS total, CAST(grouping(category, user_id) AS BIGINT) AS level
+FROM funnel_long GROUP BY GROUPING SETS ((category), (user_id), ())""")
+def counts_grouping_sets(spark, sf_dir):
+    return K.grouping_set_counts(funnel_long(spark, sf_dir), [["category"], ["user_id"], []])
+
+
+WIDE_SQL = """
+funnel_w AS (
+  SELECT day, """ + ", ".join(
+    f"CAST(coalesce(sum(n) FILTER (WHERE category = '{c}'), 0) AS BIGINT) AS {c}" for c in FUNNEL_ORDER) + """
+  FROM funnel_long GROUP BY day
+)"""
+
+
+def _wide(spark, sf_dir):
+    return K.funnel_wide(funnel_long(spark, sf_dir), ["day"], "category", FUNNEL_ORDER)
+
+
+@register("funnel_wide", ctes=FL + (WIDE_SQL,), sql="SELECT * FROM funnel_w")
+def funnel_wide(spark, sf_dir):
+    return _wide(spark, sf_dir)
+
+
+@register("funnel_indicators", floats=("admission_rate", "uptake_rate", "graduation_rate"),
+          ctes=FL + (WIDE_SQL,), sql="""
+SELECT day, admitted / nullif(applied, 0) AS admission_rate, first_year / nullif(admitted, 0) AS uptake_rate,
+       graduated / nullif(enrolled, 0) AS graduation_rate
+FROM funnel_w""")
+def funnel_indicators(spark, sf_dir):
+    return K.indicators(_wide(spark, sf_dir), ["day"])
+
+
+@register("count_trend", ctes=FL + (WIDE_SQL,), sql="""
+SELECT day, enrolled, graduated, enrolled - lag(enrolled) OVER (ORDER BY day) AS enrolled_change,
+       graduated - lag(graduated) OVER (ORDER BY day) AS graduated_change
+FROM funnel_w""")
+def count_trend(spark, sf_dir):
+    return K.count_trend(_wide(spark, sf_dir), "day", ["enrolled", "graduated"])
+
+
+@register("staff_ratios", floats=("students_per_staff",), sql="""
+SELECT coalesce(s.nation, t.nation) AS nation, coalesce(s.students, 0) AS students, coalesce(t.staff, 0) AS staff,
+       coalesce(s.students, 0) / nullif(coalesce(t.staff, 0), 0) AS students_per_staff
+FROM (SELECT c_nationkey AS nation, count(*) AS students FROM customer GROUP BY 1) s
+FULL OUTER JOIN (SELECT s_nationkey AS nation, count(*) AS staff FROM supplier GROUP BY 1) t ON s.nation = t.nation""")
+def staff_ratios(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return K.staff_ratios(t.customer.select(F.col("c_nationkey").alias("nation")),
+                          t.supplier.select(F.col("s_nationkey").alias("nation")), "nation")
+
+
+@register("join_audit", sql="""
+SELECT CAST(coalesce(sum(l), 0) AS BIGINT) AS left_rows, CAST(coalesce(sum(r), 0) AS BIGINT) AS right_rows,
+       CAST(count_if(l IS NOT NULL AND r IS NOT NULL) AS BIGINT) AS matched_keys,
+       CAST(count_if(r IS NULL) AS BIGINT) AS left_only_keys, CAST(count_if(l IS NULL) AS BIGINT) AS right_only_keys,
+       max(l) AS left_max_multiplicity, max(r) AS right_max_multiplicity,
+       CAST(coalesce(sum(l * r), 0) AS BIGINT) AS inner_join_rows
+FROM (SELECT c_nationkey AS k, count(*) AS l FROM customer GROUP BY 1) a
+FULL OUTER JOIN (SELECT s_nationkey AS k, count(*) AS r FROM supplier GROUP BY 1) b USING (k)""")
+def join_audit(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return K.join_audit(t.customer.select(F.col("c_nationkey").alias("k")),
+                        t.supplier.select(F.col("s_nationkey").alias("k")), ["k"])
+
+
+@register("yearly_cross", floats=("mean_quantity",), ctes=(BUDGET_MONTH_SQL,), sql="""
+SELECT coalesce(a.year, b.year, c.year) AS year, a.n_orders, b.mean_quantity, c.appropriation
+FROM (SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n_orders FROM orders GROUP BY 1) a
+FULL OUTER JOIN (SELECT CAST(year(l_shipdate) AS BIGINT) AS year, avg(l_quantity) AS mean_quantity
+                 FROM lineitem GROUP BY 1) b ON a.year = b.year
+FULL OUTER JOIN (SELECT year, max(appropriation) AS appropriation FROM budget_month GROUP BY year) c
+  ON coalesce(a.year, b.year) = c.year""")
+def yearly_cross(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    a = t.orders.groupBy(F.year("o_orderdate").cast("bigint").alias("year")).agg(
+        F.count(F.lit(1)).alias("n_orders"))
+    b = t.lineitem.groupBy(F.year("l_shipdate").cast("bigint").alias("year")).agg(
+        F.avg("l_quantity").alias("mean_quantity"))
+    c = BU.annual_close(budget_month(spark, sf_dir)).select("year", "appropriation")
+    return K.yearly_cross([a, b, c])
+
+
+@register("territory_gap", floats=("mean", "gap"), ctes=(SCORE_FACT_SQL,), sql="""
+SELECT department, n, mean, gap, CAST(rank() OVER (ORDER BY gap DESC) AS BIGINT) AS rank
+FROM (SELECT department, count(module2) AS n, avg(module2) AS mean,
+             avg(module2) - sum(sum(module2)) OVER () / sum(count(module2)) OVER () AS gap
+      FROM score_fact GROUP BY department) g""")
+def territory_gap(spark, sf_dir):
+    return K.territory_gap(score_fact(spark, sf_dir), "department", "module2")
+
+
