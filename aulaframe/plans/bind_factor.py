@@ -1 +1,105 @@
-"""Bindings (filled in per family)."""
+"""PCA / FAMD analyses (#70-76). Component directions are not hash-stable
+(sign, near-equal eigenvalues), so only moments and invariants get a SQL
+oracle; the rest are rows-only."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from aulaframe.operators import factor as FA
+from aulaframe.plans.registry import register
+from aulaframe.plans.views import MODULES, SCORE_FACT_SQL, score_fact
+
+NUM = MODULES
+CAT = ["segment", "stratum", "returnflag"]
+KEYS = ["l_orderkey", "l_linenumber"]
+TARGET = 0.28  # share of inertia the reference reports reaching
+
+
+def _famd(spark, sf_dir):
+    sf = score_fact(spark, sf_dir).select(*KEYS, *NUM, *CAT)
+    return FA.famd(sf, NUM, CAT)
+
+
+@register("pca_explained")
+def pca_explained(spark, sf_dir):
+    return FA.explained_table(FA.pca(score_fact(spark, sf_dir).select(*NUM), NUM))
+
+
+def _moments_sql() -> str:
+    parts = []
+    for c in NUM:
+        parts.append(f"""SELECT '{c}' AS variable, CAST(NULL AS VARCHAR) AS level,
+  avg((s.{c} - t.m) / t.sd) AS mean, var_pop((s.{c} - t.m) / t.sd) AS var_pop
+FROM score_fact s, (SELECT avg({c}) AS m, stddev_pop({c}) AS sd FROM score_fact) t""")
+    for c in CAT:
+        parts.append(f"""SELECT '{c}' AS variable, lv.level,
+  avg(CASE WHEN s.{c} = lv.level THEN (1 - lv.p) / sqrt(lv.p) ELSE -sqrt(lv.p) END) AS mean,
+  var_pop(CASE WHEN s.{c} = lv.level THEN (1 - lv.p) / sqrt(lv.p) ELSE -sqrt(lv.p) END) AS var_pop
+FROM score_fact s, (SELECT {c} AS level, count(*) / (SELECT count(*) FROM score_fact) AS p
+                    FROM score_fact WHERE {c} IS NOT NULL GROUP BY 1) lv
+GROUP BY lv.level""")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("famd_encode_moments", floats=("mean", "var_pop"), ctes=(SCORE_FACT_SQL,), sql=_moments_sql())
+def famd_encode_moments(spark, sf_dir):
+    sf = score_fact(spark, sf_dir).select(*NUM, *CAT)
+    enc, cols = FA.famd_encode(sf, NUM, CAT)
+    one = enc.agg(*[F.avg(c).alias(f"m__{c}") for c in cols], *[F.var_pop(c).alias(f"v__{c}") for c in cols])
+    # encoded name -> (variable, level)
+    labels = {f"z_{c}": (c, None) for c in NUM}
+    from aulaframe.operators.contingency import levels
+    for c in CAT:
+        for i, v in enumerate(levels(sf, c)):
+            labels[f"i_{c}_{i}"] = (c, v)
+
+    def lit(s):
+        return "CAST(NULL AS STRING)" if s is None else "'" + str(s).replace("'", "''") + "'"
+
+    stack = ", ".join(f"{lit(labels[c][0])}, {lit(labels[c][1])}, `m__{c}`, `v__{c}`" for c in cols)
+    return one.selectExpr(f"stack({len(cols)}, {stack}) AS (variable, level, mean, var_pop)")
+
+
+@register("famd_inertia", floats=("total_inertia", "eigen_sum"), ctes=(SCORE_FACT_SQL,), sql=f"""
+SELECT CAST({len(NUM)} AS DOUBLE) + """ + " + ".join(f"(count(DISTINCT {c}) - 1)" for c in CAT) + """ AS total_inertia,
+       CAST(""" + str(len(NUM)) + " AS DOUBLE) + " + " + ".join(f"(count(DISTINCT {c}) - 1)" for c in CAT) + f""" AS eigen_sum,
+       CAST({len(NUM)} + """ + " + ".join(f"count(DISTINCT {c})" for c in CAT) + """ AS BIGINT) AS encoded_columns
+FROM score_fact""")
+def famd_inertia(spark, sf_dir):
+    """Invariant: total inertia = #numeric + sum(levels - 1) = sum of all
+    eigenvalues."""
+    model, _, cols = _famd(spark, sf_dir)
+    return spark.createDataFrame([(model.total_inertia, float(sum(model.eigenvalues)), len(cols))],
+                                 "total_inertia double, eigen_sum double, encoded_columns bigint")
+
+
+@register("famd_explained")
+def famd_explained(spark, sf_dir):
+    model, _, _ = _famd(spark, sf_dir)
+    return FA.explained_table(model)
+
+
+@register("famd_cumulative")
+def famd_cumulative(spark, sf_dir):
+    model, _, _ = _famd(spark, sf_dir)
+    return FA.explained_table(model, target=TARGET).select("dimension", "cumulative", "dims_for_target")
+
+
+@register("famd_scores")
+def famd_scores(spark, sf_dir):
+    model, enc, _ = _famd(spark, sf_dir)
+    return FA.scores(model, enc, KEYS)
+
+
+@register("famd_far_points")
+def famd_far_points(spark, sf_dir):
+    model, enc, _ = _famd(spark, sf_dir)
+    return FA.far_points(FA.scores(model, enc, KEYS), model, KEYS)
+
+
+@register("famd_variable_links")
+def famd_variable_links(spark, sf_dir):
+    model, enc, _ = _famd(spark, sf_dir)
+    sc = FA.scores(model, enc, KEYS + NUM + CAT)
+    return FA.variable_links(sc, NUM, CAT)

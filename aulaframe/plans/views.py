@@ -64,6 +64,8 @@ def score_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("stratum"),
         level_rank("o_orderpriority", STRATUM_LEVELS).alias("stratum_rank"),
         (F.col("c_mktsegment") == F.lit("BUILDING")).alias("internet"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("l_returnflag").alias("returnflag"),
         F.col("s_name").alias("institution"),
         F.col("p_type").alias("character"),
         F.col("o_orderstatus").alias("method"),
@@ -88,7 +90,7 @@ score_fact AS (
          o.o_totalprice AS module5,
          l.l_linestatus AS sex, nullif(l.l_returnflag, 'N') AS ethnicity,
          o.o_orderpriority AS stratum, lv.lvl_rank AS stratum_rank,
-         c.c_mktsegment = 'BUILDING' AS internet,
+         c.c_mktsegment = 'BUILDING' AS internet, c.c_mktsegment AS segment, l.l_returnflag AS returnflag,
          s.s_name AS institution, p.p_type AS character, o.o_orderstatus AS method,
          p.p_brand AS core, n.n_name AS department, r.r_name AS region,
          CAST(year(o.o_orderdate) AS BIGINT) AS year,
