@@ -82,6 +82,13 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(col_of(num).cast("double"), col_of(den).cast("double"))
 
 
+def safe_corr(a: str | Column, b: str | Column) -> Column:
+    """Pearson r as an aggregate; NULL (not an ANSI division error) when a
+    variable is constant."""
+    x, y = col_of(a), col_of(b)
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def level_of(c: str | Column, cuts: Sequence[float], labels: Sequence[str]) -> Column:
     """Map a score to a level: ``labels[i]`` for ``cuts[i-1] <= x < cuts[i]``."""
     if len(labels) != len(cuts) + 1:

@@ -13,8 +13,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aulaframe.functions.columns import safe_corr
 from aulaframe.operators.ranking import rows_below
-from aulaframe.operators.univariate import _cols, quantiles
+from aulaframe.operators.univariate import DEFAULT_METHOD, _cols, join_on_keys, quantile_table
 
 # Conventional effect-size cut points (Cohen); parameters,
 # not findings.
@@ -36,7 +37,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix in long form (var_a, var_b, r), both orders and the
     unit diagonal, from ONE aggregation with one ``corr`` per pair."""
     pairs = list(combinations(cols, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    one = df.agg(*[safe_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
     stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`, '{b}', '{a}', `{a}__{b}`" for a, b in pairs)
     n = 2 * len(pairs)
     long = one.selectExpr(f"stack({n}, {stack}) AS (var_a, var_b, r)")
@@ -65,14 +66,15 @@ def corr_pivot(matrix: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ group stats
 
 def group_stats(long: DataFrame, by: str | Sequence[str], value: str = "score",
-                key: str = "module", median: bool = True, approx: bool = False) -> DataFrame:
+                key: str = "module", median: bool = True, method: str = DEFAULT_METHOD) -> DataFrame:
     """n, mean, sd (and median) per category and module."""
     keys = _cols(by) + [key]
     aggs = [F.count(value).alias("n"), F.avg(value).alias("mean"),
             F.stddev_samp(value).alias("sd"), F.var_samp(value).alias("var")]
-    if median:
-        aggs.append(quantiles(value, [0.5], approx)[0].alias("median"))
-    return long.groupBy(*keys).agg(*aggs)
+    m = long.groupBy(*keys).agg(*aggs)
+    if not median:
+        return m
+    return join_on_keys(m, quantile_table(long, keys, value, [0.5], ["median"], method), keys)
 
 
 def flag_small(stats: DataFrame, min_n: int = 30) -> DataFrame:
@@ -81,17 +83,18 @@ def flag_small(stats: DataFrame, min_n: int = 30) -> DataFrame:
 
 
 def group_gap(long: DataFrame, by: str, a: str, b: str, value: str = "score",
-              key: str = "module") -> DataFrame:
+              key: str = "module", method: str = DEFAULT_METHOD) -> DataFrame:
     """Mean and median gap between two groups, by conditional aggregation
     in one pass (no join)."""
     va = F.when(F.col(by) == F.lit(a), F.col(value))
     vb = F.when(F.col(by) == F.lit(b), F.col(value))
-    return (long.groupBy(key).agg(
-        F.count(va).alias("n_a"), F.count(vb).alias("n_b"),
-        F.avg(va).alias("mean_a"), F.avg(vb).alias("mean_b"),
-        F.percentile(va, 0.5).alias("median_a"), F.percentile(vb, 0.5).alias("median_b"))
-        .withColumn("mean_gap", F.col("mean_a") - F.col("mean_b"))
-        .withColumn("median_gap", F.col("median_a") - F.col("median_b")))
+    m = long.groupBy(key).agg(F.count(va).alias("n_a"), F.count(vb).alias("n_b"),
+                              F.avg(va).alias("mean_a"), F.avg(vb).alias("mean_b"))
+    ma = quantile_table(long.filter(F.col(by) == F.lit(a)), [key], value, [0.5], ["median_a"], method)
+    mb = quantile_table(long.filter(F.col(by) == F.lit(b)), [key], value, [0.5], ["median_b"], method)
+    out = m.join(ma, key, "left").join(mb, key, "left")
+    return (out.withColumn("mean_gap", F.col("mean_a") - F.col("mean_b"))
+            .withColumn("median_gap", F.col("median_a") - F.col("median_b")))
 
 
 def effect_size_two(long: DataFrame, by: str, a: str, b: str, value: str = "score",
@@ -224,11 +227,11 @@ def box_drift(box: DataFrame, time: str = "year", key: str = "module") -> DataFr
 
 
 def period_peaks(long: DataFrame, period: str = "period", value: str = "score",
-                 key: str = "module", approx: bool = False) -> DataFrame:
+                 key: str = "module", method: str = DEFAULT_METHOD) -> DataFrame:
     """Median per period; a peak (valley) is strictly above (below) both
     neighbours; the first and last periods are never peaks."""
-    m = long.groupBy(key, period).agg(F.count(value).alias("n"),
-                                      quantiles(value, [0.5], approx)[0].alias("median"))
+    m = long.groupBy(key, period).agg(F.count(value).alias("n"))
+    m = join_on_keys(m, quantile_table(long, [key, period], value, [0.5], ["median"], method), [key, period])
     w = Window.partitionBy(key).orderBy(period)
     prev, nxt = F.lag("median").over(w), F.lead("median").over(w)
     return m.select(key, period, "n", "median",

@@ -74,7 +74,7 @@ def peak_months(flow: DataFrame, col: str, k: int = 3, year: str = "year",
     w = Window.partitionBy(year)
     r = Window.partitionBy(year).orderBy(F.desc(col), month)
     out = flow.select(year, month, F.col(col).alias("flow"),
-                      (F.col(col) / F.sum(col).over(w)).alias("share"),
+                      F.try_divide(F.col(col), F.sum(col).over(w)).alias("share"),
                       F.rank().over(r).cast("bigint").alias("rank"))
     return out.filter(F.col("rank") <= k)
 

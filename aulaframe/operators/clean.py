@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aulaframe.functions.columns import level_rank
+from aulaframe.operators.ranking import exact_quantiles
 
 MAX_LOOKUP_ROWS = 1_000_000  # broadcast bound for lookup tables (checked)
 
@@ -57,12 +58,13 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean",
     aggregation (a single row of scalars) inlined as literals: no window
     over all rows, no join."""
     if strategy == "mean":
-        aggs = [F.avg(F.col(c).cast("double")).alias(c) for c in cols]
+        stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first().asDict()
     elif strategy == "median":
-        aggs = [F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in cols]
+        # distributed exact median (no single task holds the column)
+        stats = {c: exact_quantiles(df.select(F.col(c).cast("double").alias(c)), c, [0.5],
+                                    names=[c]).first()[c] for c in cols}
     else:
         raise ValueError(strategy)
-    stats = df.agg(*aggs).first().asDict()
     return df.withColumns({f"{c}{suffix}": F.coalesce(F.col(c).cast("double"), F.lit(stats[c]).cast("double"))
                            for c in cols})
 
@@ -110,9 +112,3 @@ def extract_block(cells: DataFrame, header_pattern: str, label_col: int, label:
             .agg(F.first("value")))
     wide = wide.toDF("file", "sheet", "row", *[f"c{i}" for i in range(1, ncols + 1)])
     return wide.filter(F.col(f"c{label_col}") == F.lit(label))
-
-
-def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """Row with the smallest ``order`` per key (helper for small tables)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

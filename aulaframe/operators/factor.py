@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aulaframe.functions.columns import safe_corr
 from aulaframe.operators.contingency import levels as level_list
 
 
@@ -144,14 +145,15 @@ def variable_links(df_with_scores: DataFrame, num: Sequence[str], cat: Sequence[
     for j in range(1, dims + 1):
         d = f"dim{j}"
         if num:
-            one = df_with_scores.agg(*[(F.corr(c, d) ** 2).alias(c) for c in num])
+            one = df_with_scores.agg(*[(safe_corr(c, d) ** 2).alias(c) for c in num])
             stack = ", ".join(f"'{c}', `{c}`" for c in num)
             parts.append(one.selectExpr(f"stack({len(num)}, {stack}) AS (variable, link)")
                          .withColumn("dimension", F.lit(j)))
         for c in cat:
             g = df_with_scores.groupBy(c).agg(F.count(d).alias("n"), F.avg(d).alias("m"))
             gm, sst = df_with_scores.agg(F.avg(d), F.var_pop(d) * F.count(d)).first()
-            e = g.agg((F.sum(F.col("n") * (F.col("m") - F.lit(gm)) ** 2) / F.lit(sst)).alias("link"))
+            e = g.agg(F.try_divide(F.sum(F.col("n") * (F.col("m") - F.lit(gm)) ** 2),
+                                   F.lit(sst).cast("double")).alias("link"))
             parts.append(e.select(F.lit(c).alias("variable"), "link", F.lit(j).alias("dimension")))
     out = parts[0]
     for p in parts[1:]:

@@ -1,35 +1,82 @@
-"""Exact ranks without single-task windows."""
+"""Exact ranks and quantiles without single-task windows or per-group maps.
+
+A group may hold a third of all rows, so nothing here sorts a whole group
+in one task or keeps a whole group's values in one aggregation buffer:
+
+1. rows are pre-aggregated to (group, value, multiplicity) - partial
+   aggregation absorbs duplicates map-side;
+2. per group, approximate quantiles of the distinct values (a mergeable
+   sketch, ``percentile_approx``) cut the value axis into ``buckets``
+   ranges of similar size;
+3. per (group, bucket) totals -> a small window gives each bucket's offset;
+4. within (group, bucket) a running sum over the sorted distinct values
+   gives the exact number of rows below each value;
+5. exact order statistics are then read with a conditional ``max`` per
+   group - a plain aggregate that partial aggregation reduces to one row
+   per partition before the shuffle.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rows_below(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int = 64) -> DataFrame:
-    """Distinct (by, col) values with the number of rows strictly below
-    each value within its group (``_below``), the group size (``_n``) and
-    the value's own multiplicity (``_c``), computed without moving a whole
-    group into one task: values are range-bucketed at approximate
-    quantiles, bucket totals give offsets, running counts are taken within
-    (group, bucket)."""
+def rows_below(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int = 64,
+               accuracy: int = 10000) -> DataFrame:
+    """Distinct (by, col) values with ``_c`` (multiplicity), ``_n`` (group
+    size) and ``_below`` (rows of the group strictly below the value)."""
     keys = list(by)
     x = F.col(col)
-    probs = [i / buckets for i in range(1, buckets)]
-    got = df.agg(F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), 1000)).first()[0] or []
-    bounds = sorted({b for b in got if b is not None})
-    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast(f"array<{df.schema[col].dataType.simpleString()}>")
-    bucket = F.size(F.filter(arr, lambda b: b <= x))
-    dv = (df.filter(x.isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
-          .withColumn("_b", bucket))
+    dv = df.filter(x.isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    if keys:
+        bnd = dv.groupBy(*keys).agg(F.percentile_approx(x, probs, accuracy).alias("_bounds"))
+        dv = dv.join(bnd, keys)
+        bucket = F.size(F.filter(F.col("_bounds"), lambda b: b <= x))
+    else:
+        # one group: the boundary list (buckets-1 values) is a literal
+        got = dv.agg(F.percentile_approx(x, probs, accuracy)).first()[0] or []
+        lits = [F.lit(b) for b in sorted({b for b in got if b is not None})]
+        arr = F.array(*lits) if lits else F.array().cast(f"array<{df.schema[col].dataType.simpleString()}>")
+        bucket = F.size(F.filter(arr, lambda b: b <= x))
+    dv = dv.select(*keys, col, "_c", bucket.alias("_b"))
     tot = dv.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bt"))
-    wg = Window.partitionBy(*keys).orderBy("_b")
+    wg = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_b")
     tot = tot.select(*keys, "_b",
                      (F.sum("_bt").over(wg.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bt")).alias("_off"),
-                     F.sum("_bt").over(Window.partitionBy(*keys)).alias("_n"))
+                     F.sum("_bt").over(Window.partitionBy(*keys) if keys else Window.partitionBy()).alias("_n"))
     wb = Window.partitionBy(*keys, "_b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
     ranked = dv.withColumn("_run", F.sum("_c").over(wb)).join(tot, keys + ["_b"])
     return ranked.select(*keys, col, "_c", "_n",
                          (F.col("_off") + F.col("_run") - F.col("_c")).alias("_below"))
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
+                    names: Sequence[str] | None = None, buckets: int = 64) -> DataFrame:
+    """Exact quantiles with linear interpolation (the ``percentile`` /
+    ``quantile_cont`` definition): position p*(n-1) between the order
+    statistics at floor and ceil of it."""
+    keys = list(by)
+    names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
+    r = rows_below(df, col, keys, buckets)
+    lo_k = [F.floor(F.lit(float(p)) * (F.col("_n") - 1)) for p in probs]
+    hi_k = [F.ceil(F.lit(float(p)) * (F.col("_n") - 1)) for p in probs]
+
+    def covers(k: Column) -> Column:
+        return (F.col("_below") <= k) & (k < F.col("_below") + F.col("_c"))
+
+    aggs = [F.max("_n").alias("_n")]
+    for i in range(len(probs)):
+        aggs.append(F.max(F.when(covers(lo_k[i]), F.col(col))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(covers(hi_k[i]), F.col(col))).alias(f"_hi{i}"))
+    g = r.groupBy(*keys).agg(*aggs)
+    out = [F.col(k) for k in keys]
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        frac = pos - F.floor(pos)
+        lo, hi = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
+        out.append((lo + (hi - lo) * frac).alias(names[i]))
+    return g.select(*out)

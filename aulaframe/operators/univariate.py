@@ -3,10 +3,13 @@
 Conventions
 - Scores arrive in long form (``module``, ``score``) built with ``unpivot``,
   so one aggregation pass serves every module.
-- Quartiles are exact (``percentile``, linear interpolation); its per-group
-  state is a value -> count map, i.e. bounded by the number of distinct
-  scores of the group (301 on a 0-300 integer scale), not by rows. Pass
-  ``approx=True`` for unbounded continuous domains (``percentile_approx``).
+- Quantiles are exact with linear interpolation. ``method`` chooses how:
+  ``"rank"`` (default) - distributed exact order statistics
+  (:mod:`aulaframe.operators.ranking`): no group is ever held in one task;
+  ``"map"`` - Spark's ``percentile`` in the same pass as the moments; its
+  per-group buffer is a value -> count map, fine when the domain is small
+  (scores on a 0-300 integer scale) but unbounded for continuous measures;
+  ``"approx"`` - ``percentile_approx`` (bounded sketch, approximate).
 - Shares over a total are computed on the aggregated table (one row per
   category), never with an unpartitioned window over raw rows.
 """
@@ -18,7 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aulaframe.operators.ranking import exact_quantiles
+
 QUARTILES = [0.25, 0.5, 0.75]
+DEFAULT_METHOD = "rank"
 
 
 def _cols(by: str | Sequence[str] | None) -> list[str]:
@@ -29,7 +35,8 @@ def _cols(by: str | Sequence[str] | None) -> list[str]:
 
 def quantiles(x: str | Column, probs: Sequence[float], approx: bool = False,
               accuracy: int = 10000) -> Column:
-    """Array of quantiles of ``x`` (exact by default)."""
+    """Array of quantiles of ``x`` as one aggregate expression (``map`` or
+    ``approx`` methods)."""
     c = F.col(x) if isinstance(x, str) else x
     arr = F.array(*[F.lit(float(p)) for p in probs])
     if approx:
@@ -37,6 +44,30 @@ def quantiles(x: str | Column, probs: Sequence[float], approx: bool = False,
     return F.percentile(c, arr)
 
 
+def join_on_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join two per-group tables on their keys, NULL keys matching NULL."""
+    keys = list(keys)
+    if not keys:
+        raise ValueError("join_on_keys needs at least one key")
+    br =b.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = a[k].eqNullSafe(br[f"_k_{k}"])
+        cond = e if cond is None else cond & e
+    return a.join(br, cond, "inner").drop(*[f"_k_{k}" for k in keys])
+
+
+def quantile_table(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                   names: Sequence[str], method: str = DEFAULT_METHOD) -> DataFrame:
+    """One row per group with the requested quantiles as columns."""
+    keys = list(keys)
+    if method == "rank":
+        return exact_quantiles(long, value, probs, keys, names)
+    q = quantiles(value, probs, approx=(method == "approx"))
+    return long.groupBy(*keys).agg(q.alias("_q")).select(
+        *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+
 # ------------------------------------------------------------------ frequency
 
 def freq_table(df: DataFrame, col: str, keep_null: bool = True) -> DataFrame:
@@ -74,21 +105,20 @@ def concentration(df: DataFrame, col: str) -> DataFrame:
 # --------------------------------------------------------------- descriptive
 
 def describe(long: DataFrame, by: str | Sequence[str] | None = None,
-             value: str = "score", key: str = "module", approx: bool = False) -> DataFrame:
-    """n, mean, sd, min, Q1, median, Q3, max per ``key`` (and ``by``) in
-    one aggregation pass (partial + final hash aggregation)."""
+             value: str = "score", key: str = "module", method: str = DEFAULT_METHOD) -> DataFrame:
+    """n, mean, sd, min, Q1, median, Q3, max per ``key`` (and ``by``).
+    Moments come from one pass of partial/final hash aggregation."""
     keys = _cols(by) + [key]
-    q = quantiles(value, QUARTILES, approx)
-    agg = long.groupBy(*keys).agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("sd"),
-        F.min(value).alias("min"),
-        q.alias("_q"),
-        F.max(value).alias("max"))
-    return agg.select(*keys, "n", "mean", "sd", "min",
-                      F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                      F.col("_q")[2].alias("q3"), "max")
+    mom = [F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"),
+           F.min(value).alias("min"), F.max(value).alias("max")]
+    qn = ["q1", "median", "q3"]
+    if method == "rank":
+        m = long.groupBy(*keys).agg(*mom)
+        out = join_on_keys(m, quantile_table(long, keys, value, QUARTILES, qn, method), keys)
+    else:
+        out = long.groupBy(*keys).agg(*mom, quantiles(value, QUARTILES, method == "approx").alias("_q"))
+        out = out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(qn)]).drop("_q")
+    return out.select(*keys, "n", "mean", "sd", "min", "q1", "median", "q3", "max")
 
 
 def spread_rank(desc: DataFrame, key: str = "module") -> DataFrame:
@@ -141,18 +171,14 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataF
 
 
 def quartile_table(long: DataFrame, by: str | Sequence[str] | None = None,
-                   value: str = "score", key: str = "module", approx: bool = False) -> DataFrame:
-    """Q1, median, Q3 per group and module (one aggregation)."""
-    keys = _cols(by) + [key]
-    return (long.groupBy(*keys)
-            .agg(quantiles(value, QUARTILES, approx).alias("_q"))
-            .select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                    F.col("_q")[2].alias("q3")))
+                   value: str = "score", key: str = "module", method: str = DEFAULT_METHOD) -> DataFrame:
+    """Q1, median, Q3 per group and module."""
+    return quantile_table(long, _cols(by) + [key], value, QUARTILES, ["q1", "median", "q3"], method)
 
 
 def box_stats(long: DataFrame, by: str | Sequence[str] | None = None,
               value: str = "score", key: str = "module", k: float = 1.5,
-              approx: bool = False) -> DataFrame:
+              method: str = DEFAULT_METHOD) -> DataFrame:
     """Box-plot statistics: quartiles, IQR, fences Q1-k*IQR / Q3+k*IQR,
     whiskers (extreme values inside the fences) and outlier counts.
 
@@ -161,11 +187,11 @@ def box_stats(long: DataFrame, by: str | Sequence[str] | None = None,
     evaluates the fences with conditional aggregates.
     """
     keys = _cols(by) + [key]
-    q = quartile_table(long, by, value, key, approx)
+    q = quartile_table(long, by, value, key, method)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - F.lit(k) * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + F.lit(k) * F.col("iqr"))
-    j = long.select(*keys, value).join(q, keys, "inner")
+    j = join_on_keys(long.select(*keys, value), q, keys)
     v = F.col(value)
     inside_lo = F.when(v >= F.col("lo_fence"), v)
     inside_hi = F.when(v <= F.col("hi_fence"), v)
@@ -183,13 +209,13 @@ def box_stats(long: DataFrame, by: str | Sequence[str] | None = None,
 # -------------------------------------------------------------------- trends
 
 def trend(long: DataFrame, time: str = "year", value: str = "score",
-          key: str = "module", approx: bool = False) -> DataFrame:
+          key: str = "module", method: str = DEFAULT_METHOD) -> DataFrame:
     """Mean and median per module and time unit (both: the reference's
     'improvement' claims differ between the two)."""
-    return long.groupBy(key, time).agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        quantiles(value, [0.5], approx)[0].alias("median"))
+    keys = [key, time]
+    m = long.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"))
+    med = quantile_table(long, keys, value, [0.5], ["median"], method)
+    return join_on_keys(m, med, keys)
 
 
 def trend_change(tr: DataFrame, time: str = "year", key: str = "module",
