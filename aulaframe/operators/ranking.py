@@ -3,17 +3,17 @@
 A group may hold a third of all rows, so nothing here sorts a whole group
 in one task or keeps a whole group's values in one aggregation buffer:
 
-1. rows are pre-aggregated to (group, value, multiplicity) - partial
-   aggregation absorbs duplicates map-side;
+1. rows are pre-aggregated to (group, value, multiplicity ``_c``) - partial
+   aggregation absorbs duplicates map-side (:func:`value_counts`);
 2. per group, approximate quantiles of the distinct values (a mergeable
    sketch, ``percentile_approx``) cut the value axis into ``buckets``
    ranges of similar size;
 3. per (group, bucket) totals -> a small window gives each bucket's offset;
 4. within (group, bucket) a running sum over the sorted distinct values
-   gives the exact number of rows below each value;
-5. exact order statistics are then read with a conditional ``max`` per
-   group - a plain aggregate that partial aggregation reduces to one row
-   per partition before the shuffle.
+   gives the exact number of rows below each value. For quantiles only the
+   few buckets that contain a target rank are sorted;
+5. order statistics are read with a conditional ``max`` per group - a
+   plain aggregate that partial aggregation reduces map-side.
 """
 
 from __future__ import annotations
@@ -23,56 +23,149 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aulaframe.session import checkpoint_dir
 
-def rows_below(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int = 64,
-               accuracy: int = 10000) -> DataFrame:
-    """Distinct (by, col) values with ``_c`` (multiplicity), ``_n`` (group
-    size) and ``_below`` (rows of the group strictly below the value)."""
-    keys = list(by)
+SKETCH_ACCURACY = 1000  # bucket balancing only needs ~1/buckets precision
+
+
+def value_counts(df: DataFrame, col: str, by: Sequence[str] = (), materialize: bool = True) -> DataFrame:
+    """(by..., col, _c): distinct non-null values with their multiplicity.
+
+    The table feeds several branches (bucket sketch, bucket totals, the
+    sorted target buckets, fence counts); with ``materialize`` it is written
+    once with a reliable ``checkpoint()`` into ``spark.checkpoint.dir`` (a
+    shared folder on a cluster), so the input is aggregated once and a lost
+    executor never forces the whole lineage to be recomputed."""
+    dv = (df.filter(F.col(col).isNotNull()).groupBy(*by, col)
+          .agg(F.count(F.lit(1)).alias("_c")))
+    if materialize:
+        checkpoint_dir(df.sparkSession)
+        dv = dv.checkpoint(eager=True)
+    return dv
+
+
+def _count_le(bound, x: Column, lo: int, hi: int) -> Column:
+    """Number of sorted boundaries among indexes [lo, hi) that are <= x: one
+    flat CASE over the ordered boundaries (``bound(i)`` = i-th boundary).
+    Plain comparisons stay in whole-stage codegen, unlike a lambda over the
+    array, and a flat CASE keeps analysis cheap."""
+    if lo >= hi:
+        return F.lit(lo)
+    e = F.when(x < bound(lo), F.lit(lo))
+    for i in range(lo + 1, hi):
+        e = e.when(x < bound(i), F.lit(i))
+    return e.otherwise(F.lit(hi))
+
+
+MAX_BROADCAST_ROWS = 2_000_000  # per-group tables broadcast only below this (counted)
+
+
+def _small(df: DataFrame, est_rows: int) -> DataFrame:
+    """Broadcast a per-group table whose row count was checked."""
+    return F.broadcast(df) if est_rows <= MAX_BROADCAST_ROWS else df
+
+
+def _nsjoin(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on group keys with NULL-safe equality (a NULL group is a group)."""
+    if not keys:
+        raise ValueError("keys required")
+    sm = small.select(*[F.col(k).alias(f"_j_{k}") for k in keys],
+                      *[c for c in small.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = big[k].eqNullSafe(sm[f"_j_{k}"])
+        cond = e if cond is None else cond & e
+    out = big.join(sm, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_j_{k}" for k in keys])
+
+
+def _bucketed(dv: DataFrame, col: str, keys: list[str], buckets: int) -> tuple[DataFrame, DataFrame, int]:
+    """Attach a value-range bucket ``_b`` to each distinct value and build
+    the per-bucket table (keys, _b, _bt, _off, _n). Returns the number of
+    groups too (the proven size bound of the per-group tables)."""
     x = F.col(col)
-    dv = df.filter(x.isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
     probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     if keys:
-        bnd = dv.groupBy(*keys).agg(F.percentile_approx(x, probs, accuracy).alias("_bounds"))
-        dv = dv.join(bnd, keys)
-        bucket = F.size(F.filter(F.col("_bounds"), lambda b: b <= x))
+        # one row per group; materialised and counted so that its broadcast
+        # is size-checked (groups x buckets values)
+        bnd = dv.groupBy(*keys).agg(F.percentile_approx(x, probs, SKETCH_ACCURACY).alias("_bounds"))
+        bnd = bnd.checkpoint(eager=True)
+        groups = bnd.count()
+        b = _count_le(lambda i: F.col("_bounds")[i], x, 0, buckets - 1)
+        dvb = _nsjoin(dv, _small(bnd, groups * buckets), keys).withColumn("_b", b).drop("_bounds")
     else:
-        # one group: the boundary list (buckets-1 values) is a literal
-        got = dv.agg(F.percentile_approx(x, probs, accuracy)).first()[0] or []
-        lits = [F.lit(b) for b in sorted({b for b in got if b is not None})]
-        arr = F.array(*lits) if lits else F.array().cast(f"array<{df.schema[col].dataType.simpleString()}>")
-        bucket = F.size(F.filter(arr, lambda b: b <= x))
-    dv = dv.select(*keys, col, "_c", bucket.alias("_b"))
-    tot = dv.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bt"))
-    wg = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_b")
-    tot = tot.select(*keys, "_b",
-                     (F.sum("_bt").over(wg.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bt")).alias("_off"),
-                     F.sum("_bt").over(Window.partitionBy(*keys) if keys else Window.partitionBy()).alias("_n"))
+        # a single group: its boundary list (buckets - 1 values) is a literal
+        got = dv.agg(F.percentile_approx(x, probs, SKETCH_ACCURACY)).first()[0] or []
+        bl = sorted({v for v in got if v is not None})
+        dvb = dv.withColumn("_b", _count_le(lambda i: F.lit(bl[i]), x, 0, len(bl)))
+        groups = 1
+    grp = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    tot = dvb.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bt"))
+    tot = tot.select(*keys, "_b", "_bt",
+                     (F.sum("_bt").over(grp.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+                      - F.col("_bt")).alias("_off"),
+                     F.sum("_bt").over(grp).alias("_n"))
+    return dvb, tot, groups
+
+
+def _with_below(dvb: DataFrame, tot: DataFrame, col: str, keys: list[str], tot_rows: int) -> DataFrame:
     wb = Window.partitionBy(*keys, "_b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = dv.withColumn("_run", F.sum("_c").over(wb)).join(tot, keys + ["_b"])
-    return ranked.select(*keys, col, "_c", "_n",
-                         (F.col("_off") + F.col("_run") - F.col("_c")).alias("_below"))
+    t = _small(tot.select(*keys, "_b", "_off", "_n"), tot_rows)
+    j = _nsjoin(dvb, t, keys + ["_b"])
+    return j.withColumn("_below", F.col("_off") + F.sum("_c").over(wb) - F.col("_c"))
+
+
+def rows_below(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int = 64,
+               counted: bool = False) -> DataFrame:
+    """Distinct (by, col) values with ``_c`` (multiplicity), ``_n`` (group
+    size) and ``_below`` (rows of the group strictly below the value).
+    ``counted=True`` means ``df`` already is a :func:`value_counts` table."""
+    keys = list(by)
+    dv = df if counted else value_counts(df, col, keys)
+    dvb, tot, groups = _bucketed(dv, col, keys, buckets)
+    return _with_below(dvb, tot, col, keys, groups * buckets).select(*keys, col, "_c", "_n", "_below")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    names: Sequence[str] | None = None, buckets: int = 64) -> DataFrame:
+                    names: Sequence[str] | None = None, buckets: int = 64,
+                    counted: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (the ``percentile`` /
     ``quantile_cont`` definition): position p*(n-1) between the order
-    statistics at floor and ceil of it."""
+    statistics at its floor and ceiling."""
     keys = list(by)
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
-    r = rows_below(df, col, keys, buckets)
-    lo_k = [F.floor(F.lit(float(p)) * (F.col("_n") - 1)) for p in probs]
-    hi_k = [F.ceil(F.lit(float(p)) * (F.col("_n") - 1)) for p in probs]
+    dv = df if counted else value_counts(df, col, keys)
+    dvb, tot, groups = _bucketed(dv, col, keys, buckets)
+    ks = []
+    for p in probs:
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        ks += [F.floor(pos), F.ceil(pos)]
+
+    def in_bucket(k: Column) -> Column:
+        return (F.col("_off") <= k) & (k < F.col("_off") + F.col("_bt"))
+
+    hit = None
+    for k in ks:
+        hit = in_bucket(k) if hit is None else hit | in_bucket(k)
+    target = tot.filter(hit)  # at most 2 buckets per quantile per group
+    t_rows = groups * 2 * len(probs)
+    if keys:
+        sub_in = _nsjoin(dvb, _small(target.select(*keys, "_b"), t_rows), keys + ["_b"], "left_semi")
+        sub = _with_below(sub_in, target, col, keys, t_rows)
+    else:
+        sub_in = dvb.join(F.broadcast(target.select("_b")), "_b", "left_semi")
+        wb = Window.partitionBy("_b").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+        sub = (sub_in.join(F.broadcast(target.select("_b", "_off", "_n")), "_b")
+               .withColumn("_below", F.col("_off") + F.sum("_c").over(wb) - F.col("_c")))
 
     def covers(k: Column) -> Column:
         return (F.col("_below") <= k) & (k < F.col("_below") + F.col("_c"))
 
     aggs = [F.max("_n").alias("_n")]
     for i in range(len(probs)):
-        aggs.append(F.max(F.when(covers(lo_k[i]), F.col(col))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(covers(hi_k[i]), F.col(col))).alias(f"_hi{i}"))
-    g = r.groupBy(*keys).agg(*aggs)
+        aggs.append(F.max(F.when(covers(ks[2 * i]), F.col(col))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(covers(ks[2 * i + 1]), F.col(col))).alias(f"_hi{i}"))
+    g = sub.groupBy(*keys).agg(*aggs)
     out = [F.col(k) for k in keys]
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("_n") - 1)

@@ -4,12 +4,14 @@ Conventions
 - Scores arrive in long form (``module``, ``score``) built with ``unpivot``,
   so one aggregation pass serves every module.
 - Quantiles are exact with linear interpolation. ``method`` chooses how:
-  ``"rank"`` (default) - distributed exact order statistics
+  ``"rank"`` - distributed exact order statistics
   (:mod:`aulaframe.operators.ranking`): no group is ever held in one task;
   ``"map"`` - Spark's ``percentile`` in the same pass as the moments; its
   per-group buffer is a value -> count map, fine when the domain is small
   (scores on a 0-300 integer scale) but unbounded for continuous measures;
-  ``"approx"`` - ``percentile_approx`` (bounded sketch, approximate).
+  ``"approx"`` - ``percentile_approx`` (bounded sketch, approximate);
+  ``"auto"`` (default) - ``"map"`` when a HyperLogLog pass proves every
+  group small enough, else ``"rank"``; exact either way.
 - Shares over a total are computed on the aggregated table (one row per
   category), never with an unpartitioned window over raw rows.
 """
@@ -21,10 +23,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aulaframe.operators.ranking import exact_quantiles
+from aulaframe.operators.ranking import exact_quantiles, value_counts
 
 QUARTILES = [0.25, 0.5, 0.75]
-DEFAULT_METHOD = "rank"
+DEFAULT_METHOD = "auto"
+MAP_MAX_DISTINCT = 200_000  # per-group distinct values allowed in one percentile map
 
 
 def _cols(by: str | Sequence[str] | None) -> list[str]:
@@ -57,10 +60,23 @@ def join_on_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     return a.join(br, cond, "inner").drop(*[f"_k_{k}" for k in keys])
 
 
+def choose_method(long: DataFrame, keys: Sequence[str], value: str, method: str) -> str:
+    """Resolve ``"auto"``: the single-pass ``percentile`` keeps one value ->
+    count map per group, so it is used only when a HyperLogLog estimate
+    proves every group has at most ``MAP_MAX_DISTINCT`` distinct values;
+    otherwise the distributed ``"rank"`` path is taken. Both are exact."""
+    if method != "auto":
+        return method
+    per_group = long.groupBy(*keys).agg(F.approx_count_distinct(value, 0.02).alias("_d"))
+    mx = per_group.agg(F.max("_d")).first()[0] or 0
+    return "map" if mx * 1.1 <= MAP_MAX_DISTINCT else "rank"
+
+
 def quantile_table(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                    names: Sequence[str], method: str = DEFAULT_METHOD) -> DataFrame:
     """One row per group with the requested quantiles as columns."""
     keys = list(keys)
+    method = choose_method(long, keys, value, method)
     if method == "rank":
         return exact_quantiles(long, value, probs, keys, names)
     q = quantiles(value, probs, approx=(method == "approx"))
@@ -112,6 +128,7 @@ def describe(long: DataFrame, by: str | Sequence[str] | None = None,
     mom = [F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"),
            F.min(value).alias("min"), F.max(value).alias("max")]
     qn = ["q1", "median", "q3"]
+    method = choose_method(long, keys, value, method)
     if method == "rank":
         m = long.groupBy(*keys).agg(*mom)
         out = join_on_keys(m, quantile_table(long, keys, value, QUARTILES, qn, method), keys)
@@ -182,28 +199,35 @@ def box_stats(long: DataFrame, by: str | Sequence[str] | None = None,
     """Box-plot statistics: quartiles, IQR, fences Q1-k*IQR / Q3+k*IQR,
     whiskers (extreme values inside the fences) and outlier counts.
 
-    Pass 1 computes quartiles per group (small table); pass 2 joins it back
-    on the group keys (AQE broadcasts it once its real size is known) and
-    evaluates the fences with conditional aggregates.
+    Everything is computed from the (group, value, multiplicity) table:
+    quartiles per group (small table), then that table joined back on the
+    group keys (AQE broadcasts it once its real size is known) and the
+    fences evaluated with multiplicity-weighted conditional aggregates. Raw
+    rows are aggregated once and never joined.
     """
     keys = _cols(by) + [key]
-    q = quartile_table(long, by, value, key, method)
+    qn = ["q1", "median", "q3"]
+    method = choose_method(long, keys, value, method)
+    if method == "rank":
+        src = value_counts(long, value, keys)
+        q = exact_quantiles(src, value, QUARTILES, keys, qn, counted=True)
+    else:
+        src = long.select(*keys, value, F.lit(1).cast("bigint").alias("_c"))
+        q = quantile_table(long, keys, value, QUARTILES, qn, method)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - F.lit(k) * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + F.lit(k) * F.col("iqr"))
-    j = join_on_keys(long.select(*keys, value), q, keys)
-    v = F.col(value)
-    inside_lo = F.when(v >= F.col("lo_fence"), v)
-    inside_hi = F.when(v <= F.col("hi_fence"), v)
-    agg = j.groupBy(*keys, "q1", "median", "q3", "iqr", "lo_fence", "hi_fence").agg(
-        F.count(v).alias("n"),
-        F.min(inside_lo).alias("whisker_lo"),
-        F.max(inside_hi).alias("whisker_hi"),
-        F.count_if(v < F.col("lo_fence")).alias("n_out_lo"),
-        F.count_if(v > F.col("hi_fence")).alias("n_out_hi"),
+    j = join_on_keys(src, q, keys)
+    v, c = F.col(value), F.col("_c")
+    zero = F.lit(0).cast("bigint")
+    return j.groupBy(*keys, "q1", "median", "q3", "iqr", "lo_fence", "hi_fence").agg(
+        F.sum(c).alias("n"),
+        F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_lo"),
+        F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_hi"),
+        F.sum(F.when(v < F.col("lo_fence"), c).otherwise(zero)).alias("n_out_lo"),
+        F.sum(F.when(v > F.col("hi_fence"), c).otherwise(zero)).alias("n_out_hi"),
         F.min(v).alias("min"),
         F.max(v).alias("max"))
-    return agg
 
 
 # -------------------------------------------------------------------- trends

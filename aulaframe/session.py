@@ -20,6 +20,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # reliable checkpoints of intermediate tables are removed once unused
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -228,3 +228,39 @@ def test_box_whiskers_inside_fences(spark, k):
     b = U.box_stats(V.score_long(spark, SF_SMALL), k=k).collect()
     for r in b:
         assert r["lo_fence"] <= r["whisker_lo"] <= r["q1"] <= r["median"] <= r["q3"] <= r["whisker_hi"] <= r["hi_fence"]
+
+
+# ------------------------------------------------------------ quantile paths
+
+def _rows(df, keys):
+    return {tuple(r[k] for k in keys): r for r in df.collect()}
+
+
+def test_rank_quantiles_equal_map_quantiles(spark):
+    long = V.score_long(spark, SF_SMALL)
+    a = _rows(U.describe(long, "sex", method="rank"), ["sex", "module"])
+    b = _rows(U.describe(long, "sex", method="map"), ["sex", "module"])
+    assert a.keys() == b.keys()
+    for k in a:
+        for c in ("q1", "median", "q3", "min", "max", "n"):
+            assert a[k][c] == pytest.approx(b[k][c], rel=1e-12), (k, c)
+
+
+def test_rank_box_stats_equal_map_with_null_group(spark):
+    long = V.score_long(spark, SF_SMALL)  # ethnicity has a NULL group
+    a = _rows(U.box_stats(long, "ethnicity", method="rank"), ["ethnicity", "module"])
+    b = _rows(U.box_stats(long, "ethnicity", method="map"), ["ethnicity", "module"])
+    assert a.keys() == b.keys() and any(k[0] is None for k in a)
+    for k in a:
+        for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi", "n", "n_out_lo", "n_out_hi"):
+            assert a[k][c] == pytest.approx(b[k][c], rel=1e-12), (k, c)
+
+
+def test_exact_quantiles_single_group_hot_value(spark):
+    from aulaframe.operators.ranking import exact_quantiles
+    vals = [5.0] * 400 + [float(i) for i in range(800)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = exact_quantiles(df, "x", [0.1, 0.5, 0.9], buckets=8).first()
+    import numpy as np
+    for name, p in (("q10", 0.1), ("q50", 0.5), ("q90", 0.9)):
+        assert got[name] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
