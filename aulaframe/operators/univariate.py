@@ -27,7 +27,9 @@ from aulaframe.operators.ranking import exact_quantiles, value_counts
 
 QUARTILES = [0.25, 0.5, 0.75]
 DEFAULT_METHOD = "auto"
-MAP_MAX_DISTINCT = 200_000  # per-group distinct values allowed in one percentile map
+# per-group distinct values allowed in one percentile map (~100 bytes per
+# boxed entry: <= ~100 MB in the task that merges the largest group)
+MAP_MAX_DISTINCT = 1_000_000
 
 
 def _cols(by: str | Sequence[str] | None) -> list[str]:
