@@ -112,6 +112,14 @@ def level_rank(c: str | Column, levels: Sequence[str]) -> Column:
     return F.try_element_at(F.create_map(*kv), col_of(c))
 
 
+def years_between(c: str | Column, first: int, last: int) -> Column:
+    """``first <= year(c) <= last`` written as a timestamp range, so that
+    the predicate reaches the Parquet scan (``year(c) = y`` cannot)."""
+    lo = F.to_timestamp_ntz(F.lit(f"{first:04d}-01-01 00:00:00"))
+    hi = F.to_timestamp_ntz(F.lit(f"{last + 1:04d}-01-01 00:00:00"))
+    return (col_of(c) >= lo) & (col_of(c) < hi)
+
+
 def money(c: str | Column) -> Column:
     """Money as an exact two-decimal value so that sums do not drift."""
     return col_of(c).cast("decimal(18,2)")

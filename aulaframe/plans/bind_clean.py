@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aulaframe.functions.columns import ACCENTED, PLAIN, money, normalise_text, pad_code, parse_period
+from aulaframe.functions.columns import (ACCENTED, PLAIN, money, normalise_text, pad_code, parse_period,
+                                        years_between)
 from aulaframe.operators import clean as C
 from aulaframe.plans.registry import register
 from aulaframe.plans.views import (BLOCK_HEADER_ROW, BLOCK_SHEET, PARTIAL_LABELS_SQL, SCORE_FACT_SQL,
@@ -116,7 +117,7 @@ YEARS = list(range(1995, 2002))
 def _orders_year(spark, sf_dir, y):
     """One year's landed file: odd years lack the priority column and
     carry the status under an old name (schema drift across years)."""
-    o = Tables(spark, sf_dir).orders.filter(F.year("o_orderdate") == y)
+    o = Tables(spark, sf_dir).orders.filter(years_between("o_orderdate", y, y))
     o = o.withColumn("year", F.lit(y).cast("bigint"))
     if y % 2:
         o = o.drop("o_orderpriority").withColumnRenamed("o_orderstatus", "status_code")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aulaframe.functions.columns import money, pad_code
+from aulaframe.functions.columns import money, pad_code, years_between
 from aulaframe.operators.clean import extract_block
 from aulaframe.plans.bind_clean import BLOCK_LABEL, BLOCK_SQL
 from aulaframe.plans.bind_star import STAR, fact_df
@@ -137,7 +137,6 @@ def run_refresh(spark, sf_dir) -> tuple[str, str, list[int], int]:
     dim = scratch_path(spark, "household-dim")
     ckpt = scratch_path(spark, "orders-refresh-ckpt")
     o = Tables(spark, sf_dir).orders
-    yr = F.year("o_orderdate")
     counts = []
 
     def run():
@@ -145,10 +144,10 @@ def run_refresh(spark, sf_dir) -> tuple[str, str, list[int], int]:
                 dim_cols=["o_custkey"], dim_key="o_custkey")
         counts.append(read_sink(spark, sink).count())
 
-    o.filter(yr <= FIRST_LOAD_LAST_YEAR).write.mode("append").parquet(landing)
+    o.filter(years_between("o_orderdate", 1, FIRST_LOAD_LAST_YEAR)).write.mode("append").parquet(landing)
     run()
     first_epoch_max = spark.read.parquet(sink).agg(F.max("epoch")).first()[0]
-    o.filter(yr > FIRST_LOAD_LAST_YEAR).write.mode("append").parquet(landing)
+    o.filter(years_between("o_orderdate", FIRST_LOAD_LAST_YEAR + 1, 9998)).write.mode("append").parquet(landing)
     run()
     run()  # nothing new landed: must add no rows
     return sink, dim, counts, first_epoch_max

@@ -51,6 +51,7 @@ def _stamp(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple[str, int
 
 
 GOLD_FILE_BYTES = 256 << 20
+GOLD_LAYOUT_VERSION = 2  # bump when the written layout changes
 
 
 def gold(spark: SparkSession, sf_dir: str, name: str, inputs: list[str], build) -> DataFrame:
@@ -59,7 +60,7 @@ def gold(spark: SparkSession, sf_dir: str, name: str, inputs: list[str], build)
     dozens of analyses, so its joins run once, and downstream scans get
     column pruning and predicate pushdown. This also cuts the lineage."""
     stamp, in_bytes = _stamp(spark, sf_dir, inputs)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/gold/{name}-{stamp}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/gold/{name}-v{GOLD_LAYOUT_VERSION}-{stamp}"
     jvm = spark._jvm
     final = jvm.org.apache.hadoop.fs.Path(path)
     fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
