@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aulaframe.operators import star as S
 from aulaframe.plans.registry import register
+from aulaframe.session import checkpoint_dir
 from aulaframe.sources.tables import Tables
 
 STUDENT_KEY = ["l_orderkey", "l_linenumber"]
@@ -29,8 +30,8 @@ stage AS (
 )"""
 
 
-def dim_student_df(spark, sf_dir):
-    st = stage(spark, sf_dir)
+def dim_student_df(spark, sf_dir, st=None):
+    st = st if st is not None else stage(spark, sf_dir)
     return S.build_dim(st.select(*STUDENT_KEY, F.col("l_linestatus").alias("sex"),
                                  F.nullif("l_returnflag", F.lit("N")).alias("ethnicity")),
                        STUDENT_KEY + ["sex", "ethnicity"], natural=STUDENT_KEY)
@@ -64,9 +65,9 @@ def dim_year_df(spark, sf_dir):
                  F.to_date(F.max("o_orderdate")).alias("last_date")))
 
 
-def fact_df(spark, sf_dir):
+def fact_df(spark, sf_dir, st=None):
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    st = stage(spark, sf_dir)
+    st = st if st is not None else stage(spark, sf_dir)
     f = st.join(o, st.l_orderkey == o.o_orderkey)
     return f.select(*STUDENT_KEY,
                     F.col("l_suppkey").alias("institution_key"),
@@ -186,14 +187,18 @@ UNION ALL SELECT 'duplicate_keys_household', count(*) FROM (SELECT household_key
 UNION ALL SELECT 'orphans_year', count(*) FROM fact_scores f WHERE f.year NOT IN (SELECT year FROM dim_year)
 UNION ALL SELECT 'duplicate_keys_year', count(*) FROM (SELECT year FROM dim_year GROUP BY 1 HAVING count(*) > 1)""")
 def star_integrity(spark, sf_dir):
-    fact = fact_df(spark, sf_dir).withColumn("student_key", F.struct(*STUDENT_KEY))
-    ds = dim_student_df(spark, sf_dir).withColumn("student_key", F.struct(*STUDENT_KEY))
+    # staging and fact feed a dozen checks: each is materialised once with a
+    # reliable checkpoint (shared folder) instead of being recomputed per check
+    checkpoint_dir(spark)
+    st = stage(spark, sf_dir).checkpoint(eager=True)
+    fact = fact_df(spark, sf_dir, st).withColumn("student_key", F.struct(*STUDENT_KEY)).checkpoint(eager=True)
+    ds = dim_student_df(spark, sf_dir, st).withColumn("student_key", F.struct(*STUDENT_KEY))
     dims = {"student": (ds, "student_key"),
             "institution": (dim_institution_df(spark, sf_dir), "institution_key"),
             "programme": (dim_programme_df(spark, sf_dir), "programme_key"),
             "household": (dim_household_df(spark, sf_dir), "household_key"),
             "year": (dim_year_df(spark, sf_dir), "year")}
-    return S.check_star(stage(spark, sf_dir), fact, dims)
+    return S.check_star(st, fact, dims)
 
 
 EXTEND_YEAR = 2000
