@@ -27,10 +27,11 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame
     survivor is deterministic."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    rank = F.struct(*[F.col(c) for c in list(order) + rest])
-    payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    agg = df.groupBy(*keys).agg(F.max_by(payload, rank).alias("_s"))
-    return agg.select(*keys, "_s.*")
+    # the struct is both the ordering and the payload: max() of it is the
+    # survivor (lexicographic: order columns first, then the rest)
+    ranked = F.struct(*[F.col(c) for c in list(order) + rest])
+    agg = df.groupBy(*keys).agg(F.max(ranked).alias("_s"))
+    return agg.select(*keys, *[F.col(f"_s.{c}").alias(c) for c in df.columns if c not in keys])
 
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:

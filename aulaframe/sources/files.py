@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from aulaframe.operators.ranking import rows_below
 
+WINDOW_MAX_ROWS = 5_000_000  # largest clash group one task may sort (counted first)
+
 # The sheet-grid layout of exported budget workbooks.
 CELL_SCHEMA = StructType([
     StructField("file", StringType()), StructField("sheet", StringType()),
@@ -74,8 +76,13 @@ def plan_renames(catalog: DataFrame, token_map: DataFrame, token: str = "token",
     j = catalog.join(token_map, token, "inner")
     base = F.concat(F.col("category"), F.lit("_"), F.col("year").cast("string"))
     j = j.withColumn("_base", F.concat(base, F.col("ext")))
-    rk = rows_below(j.select("_base", order), order, by=["_base"]).select("_base", order, "_below")
-    j = j.join(rk, ["_base", order])
+    biggest = j.groupBy("_base").count().agg(F.max("count")).first()[0] or 0
+    if biggest <= WINDOW_MAX_ROWS:
+        # every clash group is provably small: a plain window per name
+        j = j.withColumn("_below", F.row_number().over(Window.partitionBy("_base").orderBy(order)) - 1)
+    else:
+        rk = rows_below(j.select("_base", order), order, by=["_base"]).select("_base", order, "_below")
+        j = j.join(rk, ["_base", order])
     k = F.col("_below") + 1
     final = F.when(k == 1, F.col("_base")).otherwise(
         F.concat(base, F.lit(" ("), k.cast("string"), F.lit(")"), F.col("ext")))
