@@ -71,20 +71,25 @@ def check_star(stage_rows: DataFrame, fact: DataFrame,
     """Integrity report as (check, value) rows: fact and staging row counts,
     orphans per dimension (fact keys missing from the dimension) and
     duplicate keys per dimension."""
-    spark = fact.sparkSession
-    parts = [stage_rows.agg(F.count(F.lit(1)).alias("value")).select(F.lit("staging_rows").alias("check"), "value"),
-             fact.agg(F.count(F.lit(1)).alias("value")).select(F.lit("fact_rows").alias("check"), "value")]
+    # one pass over the fact: left joins to each dimension's DISTINCT keys
+    # (so a duplicated dimension key cannot multiply fact rows) with a
+    # presence flag, then a single aggregation counts rows and orphans
+    f = fact.select(*{key for _, key in dims.values()})
+    for name, (dim, key) in dims.items():
+        f = f.join(dim.select(key).distinct().withColumn(f"_in_{name}", F.lit(True)), key, "left")
+    counts = f.agg(F.count(F.lit(1)).alias("fact_rows"),
+                   *[F.count_if(F.col(f"_in_{name}").isNull()).alias(f"orphans_{name}") for name in dims])
+    names = ["fact_rows"] + [f"orphans_{name}" for name in dims]
+    stack = ", ".join(f"'{n}', `{n}`" for n in names)
+    parts = [counts.selectExpr(f"stack({len(names)}, {stack}) AS (check, value)"),
+             stage_rows.agg(F.count(F.lit(1)).alias("value")).select(F.lit("staging_rows").alias("check"), "value")]
     for name, (dim, key) in dims.items():
-        orphans = fact.select(key).join(dim.select(key), key, "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("value"))
-                     .select(F.lit(f"orphans_{name}").alias("check"), "value"))
         dup = dim.groupBy(key).count().filter("count > 1")
         parts.append(dup.agg(F.count(F.lit(1)).alias("value"))
                      .select(F.lit(f"duplicate_keys_{name}").alias("check"), "value"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    del spark
     return out
 
 

@@ -187,8 +187,9 @@ UNION ALL SELECT 'duplicate_keys_household', count(*) FROM (SELECT household_key
 UNION ALL SELECT 'orphans_year', count(*) FROM fact_scores f WHERE f.year NOT IN (SELECT year FROM dim_year)
 UNION ALL SELECT 'duplicate_keys_year', count(*) FROM (SELECT year FROM dim_year GROUP BY 1 HAVING count(*) > 1)""")
 def star_integrity(spark, sf_dir):
-    # staging and fact feed a dozen checks: each is materialised once with a
-    # reliable checkpoint (shared folder) instead of being recomputed per check
+    # staging feeds the fact, the student dimension and a row count; the fact
+    # feeds the orphan pass and the dimension joins: both are materialised
+    # once with a reliable checkpoint (shared folder), not recomputed
     checkpoint_dir(spark)
     st = stage(spark, sf_dir).checkpoint(eager=True)
     fact = fact_df(spark, sf_dir, st).withColumn("student_key", F.struct(*STUDENT_KEY)).checkpoint(eager=True)
