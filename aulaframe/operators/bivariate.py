@@ -38,12 +38,11 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     unit diagonal, from ONE aggregation with one ``corr`` per pair."""
     pairs = list(combinations(cols, 2))
     one = df.agg(*[safe_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`, '{b}', '{a}', `{a}__{b}`" for a, b in pairs)
-    n = 2 * len(pairs)
-    long = one.selectExpr(f"stack({n}, {stack}) AS (var_a, var_b, r)")
-    diag = ", ".join(f"'{c}', '{c}', CAST(1.0 AS DOUBLE)" for c in cols)
-    unit = one.selectExpr(f"stack({len(cols)}, {diag}) AS (var_a, var_b, r)")
-    return long.unionByName(unit)
+    entries = [f"'{a}', '{b}', `{a}__{b}`, '{b}', '{a}', `{a}__{b}`" for a, b in pairs]
+    entries += [f"'{c}', '{c}', CAST(1.0 AS DOUBLE)" for c in cols]
+    n = 2 * len(pairs) + len(cols)
+    # one scan, one aggregate row, expanded into the long matrix
+    return one.selectExpr(f"stack({n}, {', '.join(entries)}) AS (var_a, var_b, r)")
 
 
 def corr_rank(matrix: DataFrame) -> DataFrame:
