@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from aulaframe.functions.columns import safe_corr
 from aulaframe.operators.ranking import rows_below
-from aulaframe.operators.univariate import DEFAULT_METHOD, _cols, join_on_keys, quantile_table
+from aulaframe.operators.univariate import DEFAULT_METHOD, _cols, aggregate_with_quantiles, quantile_table
 
 # Conventional effect-size cut points (Cohen); parameters,
 # not findings.
@@ -70,10 +70,9 @@ def group_stats(long: DataFrame, by: str | Sequence[str], value: str = "score",
     keys = _cols(by) + [key]
     aggs = [F.count(value).alias("n"), F.avg(value).alias("mean"),
             F.stddev_samp(value).alias("sd"), F.var_samp(value).alias("var")]
-    m = long.groupBy(*keys).agg(*aggs)
     if not median:
-        return m
-    return join_on_keys(m, quantile_table(long, keys, value, [0.5], ["median"], method), keys)
+        return long.groupBy(*keys).agg(*aggs)
+    return aggregate_with_quantiles(long, keys, value, aggs, [0.5], ["median"], method)
 
 
 def flag_small(stats: DataFrame, min_n: int = 30) -> DataFrame:
@@ -229,8 +228,8 @@ def period_peaks(long: DataFrame, period: str = "period", value: str = "score",
                  key: str = "module", method: str = DEFAULT_METHOD) -> DataFrame:
     """Median per period; a peak (valley) is strictly above (below) both
     neighbours; the first and last periods are never peaks."""
-    m = long.groupBy(key, period).agg(F.count(value).alias("n"))
-    m = join_on_keys(m, quantile_table(long, [key, period], value, [0.5], ["median"], method), [key, period])
+    m = aggregate_with_quantiles(long, [key, period], value, [F.count(value).alias("n")],
+                                 [0.5], ["median"], method)
     w = Window.partitionBy(key).orderBy(period)
     prev, nxt = F.lag("median").over(w), F.lead("median").over(w)
     return m.select(key, period, "n", "median",

@@ -74,6 +74,22 @@ def choose_method(long: DataFrame, keys: Sequence[str], value: str, method: str)
     return "map" if mx * 1.1 <= MAP_MAX_DISTINCT else "rank"
 
 
+def aggregate_with_quantiles(long: DataFrame, keys: Sequence[str], value: str, aggs: Sequence[Column],
+                             probs: Sequence[float], names: Sequence[str],
+                             method: str = DEFAULT_METHOD) -> DataFrame:
+    """Per-group aggregates plus exact quantiles: ONE aggregation pass when
+    the (checked) method allows the quantiles to ride along, otherwise the
+    moments pass joined with the distributed quantile table."""
+    keys = list(keys)
+    method = choose_method(long, keys, value, method)
+    if method == "rank":
+        m = long.groupBy(*keys).agg(*aggs)
+        return join_on_keys(m, quantile_table(long, keys, value, probs, names, method), keys)
+    q = quantiles(value, probs, approx=(method == "approx"))
+    out = long.groupBy(*keys).agg(*aggs, q.alias("_q"))
+    return out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]).drop("_q")
+
+
 def quantile_table(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                    names: Sequence[str], method: str = DEFAULT_METHOD) -> DataFrame:
     """One row per group with the requested quantiles as columns."""
@@ -130,13 +146,7 @@ def describe(long: DataFrame, by: str | Sequence[str] | None = None,
     mom = [F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"),
            F.min(value).alias("min"), F.max(value).alias("max")]
     qn = ["q1", "median", "q3"]
-    method = choose_method(long, keys, value, method)
-    if method == "rank":
-        m = long.groupBy(*keys).agg(*mom)
-        out = join_on_keys(m, quantile_table(long, keys, value, QUARTILES, qn, method), keys)
-    else:
-        out = long.groupBy(*keys).agg(*mom, quantiles(value, QUARTILES, method == "approx").alias("_q"))
-        out = out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(qn)]).drop("_q")
+    out = aggregate_with_quantiles(long, keys, value, mom, QUARTILES, qn, method)
     return out.select(*keys, "n", "mean", "sd", "min", "q1", "median", "q3", "max")
 
 
@@ -239,9 +249,8 @@ def trend(long: DataFrame, time: str = "year", value: str = "score",
     """Mean and median per module and time unit (both: the reference's
     'improvement' claims differ between the two)."""
     keys = [key, time]
-    m = long.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"))
-    med = quantile_table(long, keys, value, [0.5], ["median"], method)
-    return join_on_keys(m, med, keys)
+    return aggregate_with_quantiles(long, keys, value, [F.count(value).alias("n"), F.avg(value).alias("mean")],
+                                    [0.5], ["median"], method)
 
 
 def trend_change(tr: DataFrame, time: str = "year", key: str = "module",
