@@ -283,3 +283,25 @@ def test_percent_rank_window_equals_rank_path(spark):
     j = a.join(b.withColumnRenamed("pct_rank", "r2"), ["core", "l_orderkey", "l_linenumber", "module2"])
     assert j.count() == base.count()
     assert j.filter(F.abs(F.col("pct_rank") - F.col("r2")) > 1e-12).count() == 0
+
+
+def test_single_group_and_ties(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("a", 3.0)], "g string, score double") \
+        .withColumn("module", F.lit("m"))
+    st = B.group_stats(df, "g").first()
+    assert st["n"] == 3 and st["median"] == 1.0
+    ties = spark.createDataFrame([("x",), ("y",), ("z",), ("z",)], "c string")
+    top = [r["c"] for r in U.top_k(ties, "c", 2).orderBy("rank").collect()]
+    assert top == ["z", "x"]  # equal counts broken by value
+
+
+def test_zero_cell_counts_in_chi_square(spark):
+    # 2x2 table with an empty cell: grid formula and observed-cell formula agree
+    rows = [("a", "u")] * 10 + [("a", "v")] * 5 + [("b", "u")] * 7
+    df = spark.createDataFrame(rows, "x string, y string")
+    chi = CT.chi_square(df, "x", "y").first()
+    n, cells = 22, {("a", "u"): 10, ("a", "v"): 5, ("b", "u"): 7, ("b", "v"): 0}
+    r = {"a": 15, "b": 7}
+    c = {"u": 17, "v": 5}
+    expect = sum((cells[(i, j)] - r[i] * c[j] / n) ** 2 / (r[i] * c[j] / n) for i in r for j in c)
+    assert chi["chi2"] == pytest.approx(expect, rel=1e-12) and chi["dof"] == 1
