@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aulaframe.operators.clean import small_side
+
 
 def _stack(one: DataFrame, ids: Sequence[str], names: Sequence[str], fields: Sequence[str],
            name_col: str = "variable") -> DataFrame:
@@ -36,12 +38,13 @@ def variable_dictionary(df: DataFrame, meta: DataFrame | None = None,
     long = _stack(one, ["_rows"], cols, ["nonnull", "distinct"])
     types = df.sparkSession.createDataFrame(
         [(f.name, f.dataType.simpleString()) for f in df.schema.fields], "variable string, dtype string")
+    # one row per column of the input schema: bounded by the schema width
     out = (long.join(F.broadcast(types), "variable")
            .select("variable", "dtype", F.col("_rows").alias("n_rows"),
                    (F.col("_rows") - F.col("nonnull")).alias("n_null"),
                    F.col("distinct").cast("bigint").alias("n_distinct")))
     if meta is not None:
-        out = out.join(F.broadcast(meta), "variable", "left")
+        out = out.join(small_side(meta), "variable", "left")
     return out
 
 
@@ -70,7 +73,7 @@ def flag_extremes(long: DataFrame, limits: DataFrame, value: str = "score",
     """Rows at or beyond each module's scale limits (``limits``: key, lo,
     hi; a handful of rows, broadcast): zeros and scale limits are special
     records, not ordinary scores."""
-    j = long.join(F.broadcast(limits), key)
+    j = long.join(small_side(limits), key)
     v = F.col(value)
     return j.groupBy(key).agg(
         F.count(v).alias("n"),

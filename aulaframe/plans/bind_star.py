@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from aulaframe.operators import star as S
+from aulaframe.operators.clean import small_side
 from aulaframe.plans.registry import register
 from aulaframe.session import checkpoint_dir
 from aulaframe.sources.tables import Tables
@@ -39,7 +40,7 @@ def dim_student_df(spark, sf_dir, st=None):
 
 def dim_institution_df(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    s = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    s = t.supplier.join(small_side(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
     return s.select(F.col("s_suppkey").alias("institution_key"), F.col("s_name").alias("institution"),
                     F.col("n_name").alias("department"))
 
@@ -52,7 +53,7 @@ def dim_programme_df(spark, sf_dir):
 
 def dim_household_df(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    c = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = t.customer.join(small_side(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
     return c.select(F.col("c_custkey").alias("household_key"),
                     (F.col("c_mktsegment") == "BUILDING").alias("internet"),
                     F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("department"))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aulaframe.functions.columns import level_rank, money
+from aulaframe.operators.clean import small_side
 from aulaframe.session import checkpoint_dir
 from aulaframe.sources.tables import Tables
 
@@ -91,11 +92,11 @@ def score_fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                         "o_orderdate", "o_orderpriority")
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    # nation (25 rows) and region (5 rows) are fixed-size code tables: safe to
-    # broadcast at any scale. customer/part/supplier grow with the data, so
-    # their strategy is left to the size-checked auto-broadcast and AQE.
-    n = F.broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
-    r = F.broadcast(t.region.select("r_regionkey", "r_name"))
+    # nation (25 rows) and region (5 rows) are code tables: broadcast after a
+    # row-count check. customer/part/supplier grow with the data, so their
+    # strategy is left to the size-checked auto-broadcast and AQE.
+    n = small_side(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
+    r = small_side(t.region.select("r_regionkey", "r_name"))
     p = t.part.select("p_partkey", "p_type", "p_brand")
     s = t.supplier.select("s_suppkey", "s_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
@@ -312,7 +313,7 @@ def budget_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = t.orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("file"), "o_custkey",
                         money("o_totalprice").alias("amt"))
     c = t.customer.select("c_custkey", "c_nationkey")
-    n = F.broadcast(t.nation.select("n_nationkey", "n_name"))
+    n = small_side(t.nation.select("n_nationkey", "n_name"))
     agg = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
            .groupBy("file", "n_nationkey", "n_name")
            .agg(F.sum("amt").alias("amount"), F.count(F.lit(1)).alias("cnt")))
