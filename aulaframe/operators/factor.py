@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aulaframe.functions.columns import safe_corr
-from aulaframe.operators.contingency import levels as level_list
+from aulaframe.operators.contingency import MAX_PIVOT_LEVELS as MAX_LEVELS
 
 
 @dataclass
@@ -38,41 +38,67 @@ class FactorModel:
     n: int
 
 
-def famd_encode(df: DataFrame, num: Sequence[str], cat: Sequence[str],
-                keep: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
-    """Encoded columns for FAMD (plus ``keep`` passthrough columns)."""
-    lv = {c: level_list(df, c) for c in cat}
+def _levels_all(df: DataFrame, cat: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
+    """Distinct levels of every categorical column in ONE job (bounded and
+    checked: at most ``max_levels`` per column are collected)."""
+    if not cat:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("v"), F.col(c).cast("string").alias("l")) for c in cat]))
+    lv = df.select(pairs.alias("x")).select("x.*").filter(F.col("l").isNotNull()).distinct()
+    rows = lv.limit(max_levels * len(cat) + 1).collect()
+    out: dict[str, list] = {c: [] for c in cat}
+    for r in rows:
+        out[r["v"]].append(r["l"])
+    if len(rows) > max_levels * len(cat) or any(len(v) > max_levels for v in out.values()):
+        raise ValueError(f"a categorical column has more than {max_levels} levels")
+    return {c: sorted(v) for c, v in out.items()}
+
+
+def _encode(df: DataFrame, num: Sequence[str], cat: Sequence[str],
+            keep: Sequence[str] = ()) -> tuple[DataFrame, list[str], int, float]:
+    """Encoded columns, their names, the row count and the total inertia
+    (sum of the encoded columns' population variances: 1 per non-constant
+    numeric variable, 1 - p per level), all from one statistics pass."""
+    lv = _levels_all(df, cat)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in num:
         aggs += [F.avg(c).alias(f"m__{c}"), F.stddev_pop(c).alias(f"s__{c}")]
     for c in cat:
         for i, v in enumerate(lv[c]):
-            aggs.append(F.count_if(F.col(c) == F.lit(v)).alias(f"p__{c}__{i}"))
+            aggs.append(F.count_if(F.col(c).cast("string") == F.lit(v)).alias(f"p__{c}__{i}"))
     st = df.agg(*aggs).first().asDict()
     n = st["_n"]
-    exprs, names = [], []
+    exprs, names, total = [], [], 0.0
     for c in num:
-        m, s = st[f"m__{c}"], st[f"s__{c}"]
-        exprs.append(((F.col(c) - F.lit(m)) / F.lit(s if s else 1.0)).alias(f"z_{c}"))
+        m, sd = st[f"m__{c}"], st[f"s__{c}"]
+        exprs.append(((F.col(c) - F.lit(m)) / F.lit(sd if sd else 1.0)).alias(f"z_{c}"))
         names.append(f"z_{c}")
+        total += 1.0 if sd else 0.0
     for c in cat:
         for i, v in enumerate(lv[c]):
             p = st[f"p__{c}__{i}"] / n
             name = f"i_{c}_{i}"
-            exprs.append(F.when(F.col(c) == F.lit(v), F.lit((1 - p) / math.sqrt(p)))
+            exprs.append(F.when(F.col(c).cast("string") == F.lit(v), F.lit((1 - p) / math.sqrt(p)))
                          .otherwise(F.lit(-math.sqrt(p))).alias(name))
             names.append(name)
-    return df.select(*keep, *exprs), names
+            total += 1.0 - p
+    return df.select(*keep, *exprs), names, n, total
+
+
+def famd_encode(df: DataFrame, num: Sequence[str], cat: Sequence[str],
+                keep: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """Encoded columns for FAMD (plus ``keep`` passthrough columns)."""
+    enc, names, _, _ = _encode(df, num, cat, keep)
+    return enc, names
 
 
-def _fit(enc: DataFrame, cols: list[str], k: int, n: int) -> FactorModel:
+def _fit(enc: DataFrame, cols: list[str], k: int, n: int, total: float) -> FactorModel:
     from pyspark.ml.feature import PCA, VectorAssembler
 
     vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(enc)
     model = PCA(k=k, inputCol="_v", outputCol="_pc").fit(vec)
-    # total inertia = trace of the (population) covariance = sum of variances
-    tot = enc.agg(*[F.var_pop(c).alias(c) for c in cols]).first()
-    total = float(sum(tot[c] for c in cols))
+    # total inertia = trace of the (population) covariance, known from the
+    # encoding statistics (no extra pass over the data)
     explained = [float(x) for x in model.explainedVariance.toArray()]
     pc = model.pc.toArray()  # p x k
     loadings = []
@@ -86,17 +112,15 @@ def _fit(enc: DataFrame, cols: list[str], k: int, n: int) -> FactorModel:
 
 def famd(df: DataFrame, num: Sequence[str], cat: Sequence[str], k: int | None = None) -> tuple[FactorModel, DataFrame, list[str]]:
     """Fit FAMD; returns (model, encoded rows, encoded column names)."""
-    enc, cols = famd_encode(df, num, cat, keep=df.columns)
-    k = k or len(cols)
-    n = df.count()
-    return _fit(enc, cols, k, n), enc, cols
+    enc, cols, n, total = _encode(df, num, cat, keep=df.columns)
+    return _fit(enc, cols, k or len(cols), n, total), enc, cols
 
 
 def pca(df: DataFrame, cols: Sequence[str], k: int | None = None) -> FactorModel:
     """PCA of standardised numeric variables (z-scores), i.e. of the
     correlation matrix."""
-    enc, names = famd_encode(df, cols, [], keep=())
-    return _fit(enc, names, k or len(names), df.count())
+    enc, names, n, total = _encode(df, cols, [], keep=())
+    return _fit(enc, names, k or len(names), n, total)
 
 
 def explained_table(model: FactorModel, target: float | None = None) -> DataFrame:
