@@ -24,7 +24,7 @@ def _stack(one: DataFrame, ids: Sequence[str], names: Sequence[str], fields: Seq
 
 
 def variable_dictionary(df: DataFrame, meta: DataFrame | None = None,
-                        exact: bool = True) -> DataFrame:
+                        exact: bool = False) -> DataFrame:
     """Per column: Spark type, rows, NULLs, distinct non-null values
     (+ description and coding when ``meta`` (variable, description, coding)
     is given). ``exact=False`` uses HyperLogLog (``approx_count_distinct``),
