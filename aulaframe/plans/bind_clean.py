@@ -115,12 +115,13 @@ YEARS = list(range(1995, 2002))
 
 
 def _orders_year(spark, sf_dir, y):
-    """One year's landed file: odd years lack the priority column and
-    carry the status under an old name (schema drift across years)."""
+    """One year's landed file: odd years lack the priority column, carry
+    the status under an old name and the amount as text (schema drift)."""
     o = Tables(spark, sf_dir).orders.filter(years_between("o_orderdate", y, y))
     o = o.withColumn("year", F.lit(y).cast("bigint"))
     if y % 2:
-        o = o.drop("o_orderpriority").withColumnRenamed("o_orderstatus", "status_code")
+        o = (o.drop("o_orderpriority").withColumnRenamed("o_orderstatus", "status_code")
+             .withColumn("o_totalprice", F.col("o_totalprice").cast("string")))
     return o
 
 
@@ -128,16 +129,19 @@ def _orders_year(spark, sf_dir, y):
 SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n,
        CAST(count_if(year(o_orderdate) % 2 = 1) AS BIGINT) AS n_null_priority,
        CAST(count_if(o_orderstatus IS NULL) AS BIGINT) AS n_null_status,
-       CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS n_status_f
+       CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS n_status_f,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM orders GROUP BY 1""")
 def union_by_name_years(spark, sf_dir):
-    parts = [C.conform(_orders_year(spark, sf_dir, y), renames={"status_code": "o_orderstatus"})
+    parts = [C.conform(_orders_year(spark, sf_dir, y), renames={"status_code": "o_orderstatus"},
+                       casts={"o_totalprice": "double"})
              for y in YEARS]
     u = C.consolidate(parts)
     return u.groupBy("year").agg(F.count(F.lit(1)).alias("n"),
                                  F.count_if(F.col("o_orderpriority").isNull()).alias("n_null_priority"),
                                  F.count_if(F.col("o_orderstatus").isNull()).alias("n_null_status"),
-                                 F.count_if(F.col("o_orderstatus") == "F").alias("n_status_f"))
+                                 F.count_if(F.col("o_orderstatus") == "F").alias("n_status_f"),
+                                 F.sum(money("o_totalprice")).cast("double").alias("total"))
 
 
 @register("consolidate_months", sql="""
