@@ -24,6 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aulaframe.operators.ranking import exact_quantiles, value_counts
+from aulaframe.session import checkpoint_dir
+
+MAX_BROADCAST_GROUPS = 1_000_000  # per-group summary rows broadcast only below this (counted)
 
 QUARTILES = [0.25, 0.5, 0.75]
 DEFAULT_METHOD = "auto"
@@ -54,7 +57,7 @@ def join_on_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
     if not keys:
         raise ValueError("join_on_keys needs at least one key")
-    br =b.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+    br = b.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in b.columns if c not in keys])
     cond = None
     for k in keys:
         e = a[k].eqNullSafe(br[f"_k_{k}"])
@@ -229,7 +232,12 @@ def box_stats(long: DataFrame, by: str | Sequence[str] | None = None,
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - F.lit(k) * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + F.lit(k) * F.col("iqr"))
-    j = join_on_keys(src, q, keys)
+    # one row per group: materialise, count, and broadcast it when small so
+    # the (large) value side is never shuffled for this join
+    checkpoint_dir(long.sparkSession)
+    q = q.checkpoint(eager=True)
+    groups = q.count()
+    j = join_on_keys(src, F.broadcast(q) if groups <= MAX_BROADCAST_GROUPS else q, keys)
     v, c = F.col(value), F.col("_c")
     zero = F.lit(0).cast("bigint")
     return j.groupBy(*keys, "q1", "median", "q3", "iqr", "lo_fence", "hi_fence").agg(
