@@ -22,8 +22,32 @@ _DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # reliable checkpoints of intermediate tables are removed once unused
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # AQE coalesces shuffle output towards this size and splits skewed
+    # partitions above it, so the initial partition count can be generous
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+SHUFFLE_TARGET_BYTES = 128 << 20
+
+
+def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
+    """Initial shuffle partitions for an input volume: enough that each
+    partition of a full-width shuffle stays near 128 MB (spill-friendly at
+    100 TB: ~800k partitions is capped to 200k; AQE coalesces what is
+    smaller), and never fewer than twice the cores."""
+    return int(min(200_000, max(2 * cores, -(-input_bytes // SHUFFLE_TARGET_BYTES))))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of input files/folders via the Hadoop file system API."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        jp = jvm.org.apache.hadoop.fs.Path(p)
+        total += jp.getFileSystem(conf).getContentSummary(jp).getLength()
+    return total
+
 
 def get_spark(master: str | None = None, app: str = "aulaframe",
               shuffle_partitions: int | None = None,

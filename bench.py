@@ -16,7 +16,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from aulaframe.plans.registry import load_all  # noqa: E402
-from aulaframe.session import get_spark  # noqa: E402
+from aulaframe.session import get_spark, input_bytes, shuffle_partitions_for  # noqa: E402
+from aulaframe.sources.tables import TABLES  # noqa: E402
 
 HEADLINE = [
     "group_stats_ordinal", "describe_modules", "box_stats", "box_by_group", "corr_matrix",
@@ -34,6 +35,9 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = get_spark(f"local[{cpus}]", app="aulaframe-bench", shuffle_partitions=2 * cpus,
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    # shuffle partitions sized from the input volume (AQE coalesces the rest)
+    data = input_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TABLES])
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(data, cpus)))
     reg = load_all()
     names = only or HEADLINE
     times = {}
