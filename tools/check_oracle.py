@@ -93,7 +93,7 @@ def main(argv):
             names.append(x)
     from aulaframe.plans.registry import load_all
     reg = load_all()
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    spark = get_spark("local[8]", shuffle_partitions=int(os.environ.get("CHECK_SHUFFLE_PARTITIONS", "8")))
     con = duck(sf_dir)
     bad = 0
     for name, a in reg.items():
