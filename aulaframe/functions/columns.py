@@ -70,7 +70,9 @@ def normalise_text(c: str | Column) -> Column:
 
 
 def parse_period(c: str | Column) -> tuple[Column, Column]:
-    """Period code ``YYYYN`` -> (year, sitting); invalid text -> NULLs."""
+    """Period code ``YYYYN`` -> (year, sitting); invalid text -> NULLs.
+    (Definition chosen here: first four characters = year, the rest =
+    sitting, inferred from the published codes.)"""
     s = F.trim(col_of(c).cast("string"))
     year = F.substring(s, 1, 4).try_cast("bigint")
     sitting = F.substring(s, 5, 8).try_cast("bigint")

@@ -3,6 +3,16 @@
 Everything aggregates first (one row per group and module) and applies
 windows or joins to those small tables afterwards; raw rows only ever go
 through partial/final hash aggregation.
+
+Definitions chosen here (the source analysis states none): pooled-sd
+standardised difference for two groups and eta^2 = SSB/SST for k groups,
+with Cohen's conventional labels as parameters (``effect_size_two``,
+``effect_size_eta2``); IQR overlap = |intersection| / |union| of
+neighbouring groups (``iqr_overlap``); small-sample threshold default 30
+(``flag_small``); a peak / valley is strictly above / below both
+neighbouring periods, ends excluded (``period_peaks``); small-n peaks are
+below the per-module 25th percentile of period sizes (``peaks_with_n``);
+percentile rank = rows below / (n - 1) (``percentile_in``).
 """
 
 from __future__ import annotations

@@ -3,6 +3,13 @@
 Input: one row per (year, month) with cumulative-within-year amounts:
 appropriation (1), commitments (2), obligations (3), payments (4). Windows
 are partitioned by year, i.e. at most 12 rows per window.
+
+Ratios (5)-(10) follow the published formulas. Definitions chosen here:
+the stage-order ladder check (``validate_budget``), the flow of a month =
+cumulative minus the previous present month's cumulative with
+``months_covered`` > 1 after a gap (``monthly_flow``), and a missing month
+is a row absent from the 12-month calendar of each year present, never a
+zero (``missing_months``).
 """
 
 from __future__ import annotations

@@ -1,5 +1,11 @@
 """Count tables: roll-ups, funnel pivots, indicators, join-safety audits
-and year-level crosses (#85-92). Aggregate first, join aggregates after."""
+and year-level crosses (#85-92). Aggregate first, join aggregates after.
+
+Definitions chosen here (the source analysis names the indicators but gives
+no formulas): same-period ratios admission = admitted/applied, uptake =
+first_year/admitted, graduation = graduated/enrolled (``indicators``); the
+join audit's measures (``join_audit``); the territorial gap = group mean
+minus the row-weighted national mean (``territory_gap``)."""
 
 from __future__ import annotations
 

@@ -12,6 +12,11 @@ PCA aggregates the p x p covariance across executors (tree aggregate) and
 eigen-decomposes that small matrix on the driver. Rows never leave the
 executors. Eigenvector signs are fixed so that the largest-magnitude
 loading of each component is positive.
+
+Definitions chosen here (the source analysis names the goals only): far
+points ranked by eigenvalue-scaled squared distance in the first factor
+plane (``far_points``); variable links = squared correlation for numeric
+and correlation ratio eta^2 for categorical variables (``variable_links``).
 """
 
 from __future__ import annotations

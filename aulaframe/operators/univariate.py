@@ -14,6 +14,13 @@ Conventions
   group small enough, else ``"rank"``; exact either way.
 - Shares over a total are computed on the aggregated table (one row per
   category), never with an unpartitioned window over raw rows.
+
+Definitions chosen here (the source analysis states none): box-plot fences
+at Q1 - 1.5*IQR / Q3 + 1.5*IQR with whiskers at the extreme values inside
+them (``box_stats``, parameter ``k``); concentration ordered by count desc
+then key (``concentration``); volatility = sample sd of the yearly values
+and a leader = highest mean of the year (``trend_summary``); the spread
+ranking reports IQR, sd, range and CV side by side (``spread_rank``).
 """
 
 from __future__ import annotations
