@@ -11,7 +11,7 @@ from aulaframe.operators import bivariate as B
 from aulaframe.operators import univariate as U
 from aulaframe.plans.bind_univariate import BOX_COLS, box_sql
 from aulaframe.plans.registry import grid, register
-from aulaframe.plans.views import MODULES, SCORE_FACT_SQL, SCORE_LONG_SQL, score_fact, score_long
+from aulaframe.plans.views import score_quantile_method as QM, MODULES, SCORE_FACT_SQL, SCORE_LONG_SQL, score_fact, score_long
 
 SF = (SCORE_FACT_SQL,)
 SL = (SCORE_FACT_SQL, SCORE_LONG_SQL)
@@ -64,18 +64,18 @@ FROM score_long {where} GROUP BY {keys}, module"""
 
 @register("group_stats_nominal", floats=("mean", "sd", "var") + grid("median"), ctes=SL, sql=_gstats_sql("sex"))
 def group_stats_nominal(spark, sf_dir):
-    return B.group_stats(score_long(spark, sf_dir), "sex")
+    return B.group_stats(score_long(spark, sf_dir), "sex", method=QM(spark, sf_dir))
 
 
 @register("group_stats_ordinal", floats=("mean", "sd", "var") + grid("median"), ctes=SL,
           sql=_gstats_sql("stratum, stratum_rank"))
 def group_stats_ordinal(spark, sf_dir):
-    return B.group_stats(score_long(spark, sf_dir), ["stratum", "stratum_rank"])
+    return B.group_stats(score_long(spark, sf_dir), ["stratum", "stratum_rank"], method=QM(spark, sf_dir))
 
 
 @register("box_by_group", floats=BOX_COLS, ctes=SL, sql=box_sql("character, module"))
 def box_by_group(spark, sf_dir):
-    return U.box_stats(score_long(spark, sf_dir), "character")
+    return U.box_stats(score_long(spark, sf_dir), "character", method=QM(spark, sf_dir))
 
 
 @register("two_group_gap", floats=("mean_a", "mean_b", "mean_gap") + grid("median_a", "median_b", "median_gap"),
@@ -88,7 +88,7 @@ SELECT module, count(CASE WHEN sex = 'F' THEN score END) AS n_a, count(CASE WHEN
        quantile_cont(CASE WHEN sex = 'F' THEN score END, 0.5) - quantile_cont(CASE WHEN sex = 'O' THEN score END, 0.5) AS median_gap
 FROM score_long GROUP BY module""")
 def two_group_gap(spark, sf_dir):
-    return B.group_gap(score_long(spark, sf_dir), "sex", "F", "O")
+    return B.group_gap(score_long(spark, sf_dir), "sex", "F", "O", method=QM(spark, sf_dir))
 
 
 def _label_sql(x: str, cuts) -> str:
@@ -146,8 +146,8 @@ FROM (
   WINDOW w AS (PARTITION BY b.module ORDER BY b.stratum_rank, b.stratum)) t""")
 def iqr_overlap(spark, sf_dir):
     long = score_long(spark, sf_dir)
-    q = U.quartile_table(long, ["stratum", "stratum_rank"])
-    return B.iqr_overlap(q, "stratum", order="stratum_rank", pooled=U.quartile_table(long))
+    q = U.quartile_table(long, ["stratum", "stratum_rank"], method=QM(spark, sf_dir))
+    return B.iqr_overlap(q, "stratum", order="stratum_rank", pooled=U.quartile_table(long, method=QM(spark, sf_dir)))
 
 
 GRADIENT_SQL = """
@@ -236,7 +236,7 @@ def area_profile(spark, sf_dir):
 SELECT *, median - lag(median) OVER (PARTITION BY module ORDER BY year) AS median_drift
 FROM ({box_sql('year, module')}) b""")
 def box_by_year(spark, sf_dir):
-    return B.box_drift(U.box_stats(score_long(spark, sf_dir), "year"), "year")
+    return B.box_drift(U.box_stats(score_long(spark, sf_dir), "year", method=QM(spark, sf_dir)), "year")
 
 
 PEAKS_SQL = """
@@ -252,7 +252,7 @@ peaks AS (
 
 @register("period_peaks", floats=grid("median"), ctes=SL + (PEAKS_SQL,), sql="SELECT * FROM peaks")
 def period_peaks(spark, sf_dir):
-    return B.period_peaks(score_long(spark, sf_dir), "period")
+    return B.period_peaks(score_long(spark, sf_dir), "period", method=QM(spark, sf_dir))
 
 
 @register("peaks_small_n", floats=grid("median", "n_threshold"), ctes=SL + (PEAKS_SQL,), sql="""
@@ -261,7 +261,7 @@ FROM peaks p JOIN (SELECT module, quantile_cont(n, 0.25) AS n_threshold FROM pea
   USING (module)
 WHERE p.peak OR p.valley""")
 def peaks_small_n(spark, sf_dir):
-    return B.peaks_with_n(B.period_peaks(score_long(spark, sf_dir), "period"))
+    return B.peaks_with_n(B.period_peaks(score_long(spark, sf_dir), "period", method=QM(spark, sf_dir)))
 
 
 @register("percentile_national", floats=("pct_rank",), ctes=SF, sql="""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from aulaframe.operators import univariate as U
 from aulaframe.plans.registry import grid, register
-from aulaframe.plans.views import SCORE_FACT_SQL, SCORE_LONG_SQL, score_fact, score_long
+from aulaframe.plans.views import score_quantile_method as QM, SCORE_FACT_SQL, SCORE_LONG_SQL, score_fact, score_long
 
 SF = (SCORE_FACT_SQL,)
 SL = (SCORE_FACT_SQL, SCORE_LONG_SQL)
@@ -57,7 +57,7 @@ def concentration_departments(spark, sf_dir):
 @register("describe_modules", floats=("mean", "sd") + grid("min", "q1", "median", "q3", "max"),
           ctes=SL + (DESCRIBE_SQL,), sql="SELECT * FROM desc_m")
 def describe_modules(spark, sf_dir):
-    return U.describe(score_long(spark, sf_dir))
+    return U.describe(score_long(spark, sf_dir), method=QM(spark, sf_dir))
 
 
 @register("spread_rank", floats=("mean", "sd", "cv") + grid("iqr", "range"), ctes=SL + (DESCRIBE_SQL,), sql="""
@@ -69,7 +69,7 @@ SELECT module, mean, sd, q3 - q1 AS iqr, max - min AS range, sd / nullif(mean, 0
   CAST(rank() OVER (ORDER BY mean DESC, module) AS BIGINT) AS rank_mean
 FROM desc_m""")
 def spread_rank(spark, sf_dir):
-    return U.spread_rank(U.describe(score_long(spark, sf_dir)))
+    return U.spread_rank(U.describe(score_long(spark, sf_dir), method=QM(spark, sf_dir)))
 
 
 @register("module_gap", floats=("best_mean", "worst_mean", "gap"), ctes=SL + (DESCRIBE_SQL,), sql="""
@@ -78,7 +78,7 @@ SELECT (SELECT module FROM desc_m ORDER BY mean DESC, module LIMIT 1) AS best,
        max(mean) AS best_mean, min(mean) AS worst_mean, max(mean) - min(mean) AS gap
 FROM desc_m""")
 def module_gap(spark, sf_dir):
-    return U.module_gap(U.describe(score_long(spark, sf_dir)))
+    return U.module_gap(U.describe(score_long(spark, sf_dir), method=QM(spark, sf_dir)))
 
 
 @register("histogram", floats=grid("lo", "hi"), ctes=SF, sql="""
@@ -118,7 +118,7 @@ GROUP BY {keys}, f.q1, f.median, f.q3, f.iqr, f.lo_fence, f.hi_fence"""
 
 @register("box_stats", floats=BOX_COLS, ctes=SL, sql=box_sql("module"))
 def box_stats(spark, sf_dir):
-    return U.box_stats(score_long(spark, sf_dir))
+    return U.box_stats(score_long(spark, sf_dir), method=QM(spark, sf_dir))
 
 
 TREND_SQL = """
@@ -130,7 +130,7 @@ trend_y AS (
 
 @register("yearly_means", floats=("mean",) + grid("median"), ctes=SL + (TREND_SQL,), sql="SELECT * FROM trend_y")
 def yearly_means(spark, sf_dir):
-    return U.trend(score_long(spark, sf_dir), "year")
+    return U.trend(score_long(spark, sf_dir), "year", method=QM(spark, sf_dir))
 
 
 @register("yearly_change", floats=("mean", "yoy_change", "first_value", "last_value", "total_change"),
@@ -143,7 +143,7 @@ SELECT module, year, mean,
   - first_value(mean) OVER (PARTITION BY module ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS total_change
 FROM trend_y""")
 def yearly_change(spark, sf_dir):
-    return U.trend_change(U.trend(score_long(spark, sf_dir), "year"), "year")
+    return U.trend_change(U.trend(score_long(spark, sf_dir), "year", method=QM(spark, sf_dir)), "year")
 
 
 @register("trend_summary", floats=("volatility",), ctes=SL + (TREND_SQL,), sql="""
@@ -162,4 +162,4 @@ FROM (
         FROM trend_y) d
   GROUP BY module) s""")
 def trend_summary(spark, sf_dir):
-    return U.trend_summary(U.trend(score_long(spark, sf_dir), "year"), "year")
+    return U.trend_summary(U.trend(score_long(spark, sf_dir), "year", method=QM(spark, sf_dir)), "year")

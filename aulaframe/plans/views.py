@@ -14,13 +14,16 @@ catalog      file list built from parts, with its token map
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from aulaframe.functions.columns import level_rank, money
 from aulaframe.operators.clean import small_side
+from aulaframe.operators.univariate import MAP_MAX_DISTINCT
 from aulaframe.session import checkpoint_dir
 from aulaframe.sources.tables import Tables
 
@@ -52,16 +55,24 @@ def _stamp(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple[str, int
 
 
 GOLD_FILE_BYTES = 256 << 20
-GOLD_LAYOUT_VERSION = 2  # bump when the written layout changes
+GOLD_LAYOUT_VERSION = 3  # bump when the written layout changes
+
+
+def _gold_path(spark: SparkSession, sf_dir: str, name: str, inputs: list[str]) -> tuple[str, int]:
+    stamp, in_bytes = _stamp(spark, sf_dir, inputs)
+    return f"{checkpoint_dir(spark).rstrip('/')}/gold/{name}-v{GOLD_LAYOUT_VERSION}-{stamp}", in_bytes
 
 
 def gold(spark: SparkSession, sf_dir: str, name: str, inputs: list[str], build) -> DataFrame:
     """Write a derived base table once (Parquet, under the shared
     ``spark.checkpoint.dir``) and read it back: the same exam base feeds
     dozens of analyses, so its joins run once, and downstream scans get
-    column pruning and predicate pushdown. This also cuts the lineage."""
-    stamp, in_bytes = _stamp(spark, sf_dir, inputs)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/gold/{name}-v{GOLD_LAYOUT_VERSION}-{stamp}"
+    column pruning and predicate pushdown. This also cuts the lineage.
+
+    Column statistics (HyperLogLog distinct counts of the numeric columns)
+    are stored next to it in ``_colstats`` (hidden from Parquet readers),
+    like ``ANALYZE ... FOR COLUMNS``, for planning decisions downstream."""
+    path, in_bytes = _gold_path(spark, sf_dir, name, inputs)
     jvm = spark._jvm
     final = jvm.org.apache.hadoop.fs.Path(path)
     fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -70,12 +81,31 @@ def gold(spark: SparkSession, sf_dir: str, name: str, inputs: list[str], build)
         # enough files for every core to scan in parallel, none oversized
         n = max(spark.sparkContext.defaultParallelism, -(-in_bytes // GOLD_FILE_BYTES))
         build(spark, sf_dir).repartition(n).write.parquet(tmp)
+        written = spark.read.parquet(tmp)
+        nums = [f.name for f in written.schema.fields if isinstance(f.dataType, NumericType)]
+        if nums:
+            st = written.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in nums]).first().asDict()
+            spark.createDataFrame([(json.dumps(st),)], "v string").coalesce(1).write.text(f"{tmp}/_colstats")
         # atomic publish; if another session won the race, use its copy
         if not fs.exists(final):
             fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), final)
     return spark.read.parquet(path)
 
 
+_STATS_CACHE: dict[str, dict] = {}
+
+
+def gold_stats(spark: SparkSession, sf_dir: str, name: str, inputs: list[str]) -> dict:
+    """Column statistics written with a gold table ({} when absent)."""
+    path, _ = _gold_path(spark, sf_dir, name, inputs)
+    if path not in _STATS_CACHE:
+        try:
+            _STATS_CACHE[path] = json.loads(spark.read.text(f"{path}/_colstats").first()[0])
+        except Exception:  # noqa: BLE001 - table written without statistics
+            return {}
+    return _STATS_CACHE[path]
+
+
 SCORE_INPUTS = ["lineitem", "orders", "customer", "nation", "region", "part", "supplier"]
 
 
@@ -84,6 +114,19 @@ def score_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold(spark, sf_dir, "score_fact", SCORE_INPUTS, score_fact_build)
 
 
+def score_quantile_method(spark: SparkSession, sf_dir: str) -> str:
+    """Quantile method for analyses of ``score_long`` grouped by module:
+    every group's distinct values are bounded by the largest per-module
+    distinct count stored with the gold table, so when that bound is small
+    the single-pass map is provably safe and no estimation pass is needed."""
+    score_fact(spark, sf_dir)  # ensure the table (and its statistics) exist
+    st = gold_stats(spark, sf_dir, "score_fact", SCORE_INPUTS)
+    if any(st.get(m) is None for m in MODULES):
+        return "auto"
+    bound = max(st[m] for m in MODULES)
+    return "map" if bound * 1.1 <= MAP_MAX_DISTINCT else "auto"
+
+
 def score_fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
