@@ -323,6 +323,12 @@ def test_gold_table_built_once(spark):
     assert a and sorted(a) == sorted(b)
 
 
+def test_gold_column_statistics_choose_method(spark):
+    st = V.gold_stats(spark, SF_SMALL, "score_fact", V.SCORE_INPUTS)
+    assert all(st.get(m, 0) > 0 for m in V.MODULES)
+    assert V.score_quantile_method(spark, SF_SMALL) == "map"
+
+
 def test_year_filter_reaches_scan(spark):
     from aulaframe.functions.columns import years_between
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").filter(years_between("o_orderdate", 1996, 1996))
