@@ -324,6 +324,7 @@ def test_gold_table_built_once(spark):
 
 
 def test_gold_column_statistics_choose_method(spark):
+    V.score_fact(spark, SF_SMALL)  # the statistics are written with the table
     st = V.gold_stats(spark, SF_SMALL, "score_fact", V.SCORE_INPUTS)
     assert all(st.get(m, 0) > 0 for m in V.MODULES)
     assert V.score_quantile_method(spark, SF_SMALL) == "map"
