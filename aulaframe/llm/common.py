@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,16 +12,26 @@ from aulaframe.session import checkpoint_dir, scratch_path
 #: a word: a run of bytes that are not ASCII white space
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: input bytes that a task of a count-driven repartitioning should see
-ROWS_PER_TASK = 4096
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it.
+    (On a cluster without a shared installation, pass it with --py-files.)"""
+    env, root = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return table(spark, sf_dir, "labels")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -65,14 +77,6 @@ def lower_ascii(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def partitions_for(rows: int, per_task: int = ROWS_PER_TASK, least: int = 1) -> int:
-    return max(least, -(-rows // per_task))
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return max(2, spark.sparkContext.defaultParallelism)
-
-
 def input_partitions(df: DataFrame) -> int:
     """Splits that a scan has under the session's settings."""
     return max(1, df.rdd.getNumPartitions())

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aulaframe.llm.common import cut
+from aulaframe.llm.common import cut, table
 
 QUERY_BLOCK, CANDIDATE_BLOCK, PIVOTS, SLICE = 512, 2048, 48, 256
 _FOUND = "query_id long, vec_id long, score long"
@@ -138,8 +138,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, vec_id: st
 
 
 def op8_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
-    return top_k(vectors, lambda i: i % 20 == 0)
+    return top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
 
 
 OP8_SQL = """

@@ -1,9 +1,11 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two interpolated Kneser-Ney models, of toxic and of ordinary text, share their
-backoff: below the class's own bigram and unigram counts both fall back to the
-same continuation counts (in how many different contexts a word was seen, in
-either class), so an expression that is rare in both is no evidence. A text is
+backoff. A class's bigrams back off to its words, its words to its stems of five
+and of four letters (which hold the inflected forms of a rare word together),
+and these to the same continuation counts for both classes (after how many
+different words something was seen, in either class), so an expression that is
+rare in both is no evidence. A text is
 compared by its length-normalised log-likelihoods under both models, over the
 whole text and over its strongest expressions, and a logistic calibration on
 labelled rows that took no part in the counts turns these into a probability.
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from aulaframe.llm.common import cut, documents, labels
 
 WORDS, PAIRS = 1 << 18, 1 << 20
-DISCOUNT, MAX_PER_CLASS = 0.75, 6000
+DISCOUNT, MAX_PER_CLASS, EVIDENCE = 0.75, 6000, 5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -43,11 +45,14 @@ def fold(doc_id):
 
 
 class _Buckets(dict):
+    """Word -> buckets of the word and of its stems, packed into one integer."""
+
     def __missing__(self, word: str) -> int:
-        b = xxhash.xxh64_intdigest(word.encode()) % WORDS
+        w, five, four = (xxhash.xxh64_intdigest(x.encode()) % WORDS for x in (word, word[:5], word[:4]))
+        packed = w + (five + four * WORDS) * WORDS
         if len(self) < 400_000:
-            self[word] = b
-        return b
+            self[word] = packed
+        return packed
 
 
 def words_of(text: str, buckets: dict) -> np.ndarray:
@@ -61,52 +66,61 @@ def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def _count(batches):
-    """(toxic, v, w) -> count within a task; v is -1 at the start of a text."""
+    """Counts within a task: packed words (pair false) and pairs of word
+    buckets (pair true), by class."""
     buckets = _Buckets()
     for b in batches:
-        keys = []
+        found: dict = {}
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             w = words_of(text, buckets)
-            if len(w):
-                keys.append((np.append(-1, w[:-1]) + 1) * WORDS + w + (toxic << 40))
-        if keys:
+            found.setdefault((toxic, False), []).append(w)
+            found.setdefault((toxic, True), []).append((w[:-1] % WORDS) * WORDS + w[1:] % WORDS)
+        for (toxic, pair), keys in found.items():
             k, c = np.unique(np.concatenate(keys), return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k >> 40), pa.array((k & (1 << 40) - 1) // WORDS - 1), pa.array(k % WORDS), pa.array(c.astype(np.int64))],
-                ["toxic", "v", "w", "c"])
+                [pa.array(np.full(len(k), toxic)), pa.array([pair] * len(k), pa.bool_()), pa.array(k), pa.array(c.astype(np.int64))],
+                ["toxic", "pair", "k", "c"])
 
 
 class KneserNey:
-    """Log-likelihood ratios toxic : ordinary, from fixed-size tables."""
-
-    def __init__(self, word, pair, context, followers, continuation):
-        shared = (continuation + 0.5) / (continuation.sum() + 0.5 * WORDS)
-        total = np.maximum(word.sum(1, keepdims=True), 1)
-        types = (word > 0).sum(1, keepdims=True)
-        self.unigram = np.maximum(word - DISCOUNT, 0) / total + np.where(word.sum(1, keepdims=True) > 0, DISCOUNT * types / total, 1) * shared
-        self.pair, self.context = pair, context
-        self.open = np.where(context > 0, DISCOUNT * followers / np.maximum(context, 1), 1.0)
-        self.ratio1 = np.log(self.unigram[1] / self.unigram[0])
+    """Log-likelihood ratios toxic : ordinary, from fixed-size tables. ``levels``:
+    counts of words, five-letter and four-letter stems, each (2, WORDS);
+    ``continuation``: shared continuation counts of words."""
+
+    def __init__(self, levels, pair, context, followers, continuation, shared5, shared4):
+        total = np.maximum(levels[0].sum(1, keepdims=True), 1)
+        self.own = [(np.maximum(c - DISCOUNT, 0) / total).astype(np.float32) for c in levels]
+        self.open = [(DISCOUNT * (c > 0).sum(1, keepdims=True) / total)[:, 0] if c.any() else np.ones(2) for c in levels]
+        self.shared = [((c + 0.5) / (c.sum() + 0.5 * WORDS)).astype(np.float32) for c in (continuation, shared5, shared4)]
+        self.left = np.where(context > 0, DISCOUNT * followers / np.maximum(context, 1), 1.0).astype(np.float32)
         # tables are gathered at random; single precision halves the traffic
-        self.unigram, self.open = self.unigram.astype(np.float32), self.open.astype(np.float32)
         self.pair, self.context = pair.astype(np.float32), np.maximum(context, 1).astype(np.float32)
 
-    def ratios(self, w: np.ndarray) -> np.ndarray:
-        out = self.ratio1[w].copy()
-        if len(w) > 1:
-            v, x = w[:-1], w[1:]
-            h = _pair(v, x)
-            p = [np.maximum(self.pair[k][h] - DISCOUNT, 0) / self.context[k][v] + self.open[k][v] * self.unigram[k][x] for k in (0, 1)]
-            out[1:] = np.log(p[1] / p[0])
+    def words(self, packed: np.ndarray) -> list[np.ndarray]:
+        """Probabilities of the words under the ordinary and the toxic model."""
+        places = packed % WORDS, packed // WORDS % WORDS, packed // WORDS // WORDS
+        word, five, four = (s[p] for s, p in zip(self.shared, places))
+        out = []
+        for k in (0, 1):
+            p = self.own[2][k][places[2]] + self.open[2][k] * four
+            p = self.own[1][k][places[1]] + self.open[1][k] * p * np.minimum(five / four, 1)
+            out.append(self.own[0][k][places[0]] + self.open[0][k] * p * np.minimum(word / five, 1))
         return out
 
-    def evidence(self, w: np.ndarray) -> tuple[float, float, float, float]:
+    def evidence(self, packed: np.ndarray) -> tuple[float, ...]:
         """Length-normalised ratio of the text, and of its strongest words."""
-        if not len(w):
-            return 0.0, 0.0, 0.0, 0.0
-        r = self.ratios(w)
-        u = np.sort(self.ratio1[w])[::-1][:4]
-        return float(r.mean()), float(u[0]), float(u[:2].mean()), float(u.sum() / 4)
+        if not len(packed):
+            return (0.0,) * EVIDENCE
+        p = self.words(packed)
+        alone = np.log(p[1] / p[0])
+        r = alone.copy()
+        if len(packed) > 1:
+            w = packed % WORDS
+            v, h = w[:-1], _pair(w[:-1], w[1:])
+            both = [np.maximum(self.pair[k][h] - DISCOUNT, 0) / self.context[k][v] + self.left[k][v] * p[k][1:] for k in (0, 1)]
+            r[1:] = np.log(both[1] / both[0])
+        u = np.sort(alone)[::-1][:4]
+        return float(r.mean()), float(u[0]), float(u[:2].mean()), float(u.sum() / 4), float(np.log1p(len(packed)))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -145,36 +159,39 @@ def fit(docs: DataFrame, marks: DataFrame, text: str = "text", doc_id: str = "do
     sample = cut(some[0].union(some[1])).withColumnRenamed("doc_id", "labelled")
     rows = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.col(doc_id).cast("long").alias("d")) \
         .join(F.broadcast(sample), F.col("d") == F.col("labelled")).select("text", "toxic", "fold")
-    counted = cut(rows.filter("fold <> 1").select("text", "toxic").mapInArrow(_count, "toxic long, v long, w long, c long")
-                  .groupBy("toxic", "v", "w").agg(F.sum("c").alias("c")))
-    pairs = counted.filter("v >= 0")
-    word = _table(counted.groupBy("toxic", "w").agg(F.sum("c").alias("c")), (2, WORDS), "toxic", "w")
-    context = _table(pairs.groupBy("toxic", "v").agg(F.sum("c").alias("c")), (2, WORDS), "toxic", "v")
-    followers = _table(pairs.groupBy("toxic", "v").agg(F.count("*").alias("c")), (2, WORDS), "toxic", "v")
-    continuation = _table(counted.select("v", "w").distinct().groupBy("w").agg(F.count("*").alias("c")), WORDS, "w")
+    counted = cut(rows.filter("fold <> 1").select("text", "toxic").mapInArrow(_count, "toxic long, pair boolean, k long, c long")
+                  .groupBy("toxic", "pair", "k").agg(F.sum("c").alias("c")))
+    single, pairs = counted.filter("not pair"), counted.filter("pair")
+    part = lambda level: F.pmod(F.floor(F.col("k") / float(WORDS ** level)), F.lit(WORDS)).alias("w")
+    v, w = F.floor(F.col("k") / float(WORDS)).alias("w"), F.pmod("k", F.lit(WORDS)).alias("w")
+    sized = lambda df, *by: _table(df.groupBy("toxic", *by).agg(F.sum("c").alias("c")), (2, WORDS), "toxic", "w")
+    types = lambda df, by: _table(df.select("k", by).distinct().groupBy("w").agg(F.count("*").alias("c")), (WORDS,), "w")
+    levels = [sized(single, part(level)) for level in range(3)]
+    followers = _table(pairs.groupBy("toxic", v).agg(F.count("*").alias("c")), (2, WORDS), "toxic", "w")
+    # stems have no pairs of their own: their continuation is their different words
+    tables = levels, sized(pairs, v), followers, types(pairs, w), types(single, part(1)), types(single, part(2))
 
     def hashed(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_pair(b.column(1).to_numpy(), b.column(2).to_numpy())), b.column(3)],
-                                             ["toxic", "h", "c"])
+            k = b.column(1).to_numpy()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_pair(k // WORDS, k % WORDS)), b.column(2)], ["toxic", "h", "c"])
 
-    pair = _table(pairs.select("toxic", "v", "w", "c").mapInArrow(hashed, "toxic long, h long, c long")
+    pair = _table(pairs.select("toxic", "k", "c").mapInArrow(hashed, "toxic long, h long, c long")
                   .groupBy("toxic", "h").agg(F.sum("c").alias("c")), (2, PAIRS), "toxic", "h")
-    model = KneserNey(word, pair, context, followers, continuation)
+    model = KneserNey(tables[0], pair, *tables[1:])
     shared = spark.sparkContext.broadcast(model)
 
     def told(batches):
         buckets = _Buckets()
         for b in batches:
             e = [shared.value.evidence(words_of(t, buckets)) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(1), *[pa.array(c, pa.float64()) for c in (zip(*e) if e else [[]] * 4)]],
-                                             ["toxic", "a", "b", "c", "d"])
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(e, pa.list_(pa.float64()))], ["toxic", "e"])
 
-    t = rows.filter("fold = 1").select("text", "toxic").mapInArrow(told, "toxic long, a double, b double, c double, d double").toArrow()
-    x = np.column_stack([t.column(k).to_numpy() for k in "abcd"] + [np.ones(t.num_rows)])
+    t = rows.filter("fold = 1").select("text", "toxic").mapInArrow(told, "toxic long, e array<double>").toArrow()
+    x = np.array([[*e, 1.0] for e in t.column("e").to_pylist()]).reshape(-1, EVIDENCE + 1)
     y = t.column("toxic").to_numpy().astype(float)
     if len(set(y)) < 2:
-        return shared, np.array([1.0, 1.0, 0, 0, -3.0])
+        return shared, np.array([1.0, 1.0, 0, 0, 0, -3.0])
     weight = np.array([all_of[k] / min(all_of[k], max_per_class) for k in (0, 1)])[y.astype(int)]
     return shared, _logistic(x, y, weight)
 

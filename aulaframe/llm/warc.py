@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aulaframe.llm.common import cut, shared_folder, shared_fs
+from aulaframe.llm.common import cut, shared_folder, shared_fs, table
 
 SEGMENT_BYTES, RECORDS_PER_FILE, CHUNK_BYTES, LEAST_REVISIT = 64 << 10, 1000, 16 << 10, 100
 _RECORDS = ("record_id string, origin_id string, segment int, total_length long, warc_type string, page_id long, "
@@ -222,7 +222,7 @@ def read_warc(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFram
 
 def op5_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "warc")
-    manifest = write_warc(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"), folder)
+    manifest = write_warc(table(spark, sf_dir, "pages"), folder)
     got = read_warc(spark, folder, manifest) \
         .select("page_id", F.octet_length("payload").cast("long").alias("n"), "payload_digest", "record_type", "refers_to")
     got = cut(got)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aulaframe.llm import exact_dedup, mixing, ngram_join, packing, toxicity
-from aulaframe.llm.common import documents, labels, scratch_path
+from aulaframe.llm.common import documents, labels, scratch_path, ship
 
 #: the stages can't be written in SQL (trained model, near-duplicate links, packing)
 ORACLE_SQL = None
@@ -32,6 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
+    ship(spark)
     rows = _numbered(docs)
     kept = exact_dedup.exact_groups(rows, keep="max", row="__row").filter("kept").select(F.col("row").alias("__row"))
     return rows.join(kept, "__row", "left_semi").drop("__row")
@@ -40,6 +41,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents that links connect, the one with the smallest id stays.
     Five-word shingles, Jaccard similarity of 0.8 or more."""
+    ship(spark)
     rows = _numbered(docs)
     groups = ngram_join.jaccard_components(rows, n=5, percent=80, doc_id="__row")
     ids = rows.select(F.col("__row").alias("doc_id"), F.col("doc_id").alias("id"))
@@ -50,12 +52,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document appears as often as the mix takes it; what it doesn't take goes."""
+    ship(spark)
     mixed = mixing.mix(docs, keep=tuple(docs.columns))
     return mixed.filter("copies > 0").select(F.explode(F.sequence(F.lit(1).cast("long"), "copies")), "kept_columns").select("kept_columns.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in windows of 2048 tokens."""
+    ship(spark)
     return packing.pack(docs)
 
 
