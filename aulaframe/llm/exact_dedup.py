@@ -1,9 +1,11 @@
 """Exact de-duplication by content sort.
 
-Sampled splitters range-partition the normalised bytes (``repartitionByRange``
-on text and id, so a text with very many copies is split over several
-partitions), Spark's external sort places equal texts next to each other, and
-each task compares neighbouring texts in full. Runs of equal texts that touch
+Sampled splitters range-partition the normalised bytes: ``repartitionByRange``
+on their first ``LEAD`` characters, then their digest and the id, so what is
+sampled is short, and a text with very many copies, or a beginning that very
+many texts share, is split over several partitions. Spark's external sort
+places equal texts next to each other, and each task compares neighbouring
+texts in full. Runs of equal texts that touch
 the edge of a partition are stitched by the summary of the partition's first
 and last run (at most two rows for a partition).
 
@@ -16,8 +18,6 @@ are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from aulaframe.llm.common import cut, documents, input_partitions
 
+LEAD = 32  # characters of a text that lead its place in the order
+
 _RUNS = ("doc_id long, row long, pid int, run long, keep_run long, size_run long, last_of_run boolean, "
          "edge boolean, text_sha256 string")
 
@@ -35,7 +37,7 @@ def _label_runs(batches):
     of the open run are held. A run is written when it ends, so the partition's
     first and last runs are known as edges."""
     pid = TaskContext.get().partitionId()
-    run, prev, ids, marks = 0, None, [], []
+    run, prev, digest, ids, marks = 0, None, "", [], []
 
     def flush(edge):
         known = [i for i in ids if i is not None]
@@ -45,7 +47,7 @@ def _label_runs(batches):
             pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array([pid] * n, pa.int32()), pa.array([run] * n, pa.int64()),
             pa.array([keep] * n, pa.int64()), pa.array([n] * n, pa.int64()),
             pa.array([False] * (n - 1) + [True]), pa.array([edge] * n),
-            pa.array([hashlib.sha256(prev).hexdigest()] * n)],
+            pa.array([digest] * n)],
             ["doc_id", "row", "pid", "run", "keep_run", "size_run", "last_of_run", "edge", "text_sha256"])
 
     out, rows = [], 0
@@ -62,7 +64,7 @@ def _label_runs(batches):
                     out.append(flush(run == 0))
                     rows += len(ids)
                     run += 1
-                prev, ids, marks = text[i].as_py(), [], []
+                prev, digest, ids, marks = text[i].as_py(), b.column(3)[i].as_py().hex(), [], []
                 if rows >= 5000:
                     yield from pa.Table.from_batches(out).combine_chunks().to_batches()
                     out, rows = [], 0
@@ -86,8 +88,9 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ke
                       (F.col(doc_id).cast("long") * sign).alias("i"),
                       (F.col(row) if row else F.lit(None).cast("long")).alias("r"))
     n = partitions or max(input_partitions(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = src.repartitionByRange(n, "t", "i").sortWithinPartitions("t", "i")
-    runs = cut(ordered.mapInArrow(_label_runs, _RUNS))
+    src = src.withColumn("d", F.unhex(F.sha2("t", 256))).withColumn("lead", F.substring("t", 1, LEAD))
+    ordered = src.repartitionByRange(n, "lead", "d", "i").sortWithinPartitions("lead", "d", "t", "i")
+    runs = cut(ordered.select("t", "i", "r", "d").mapInArrow(_label_runs, _RUNS))
     # at most two edge runs a partition: the whole table has two rows for each
     # shuffle partition, whatever the number of documents
     edges = runs.filter("edge and last_of_run").select("pid", "run", "text_sha256", "keep_run", "size_run")
