@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aulaframe.llm.common import cut, documents, input_partitions, shared_folder, shared_fs
+from aulaframe.llm.common import cut, documents, hash_sample, input_partitions, shared_folder, shared_fs
 from aulaframe.llm.tokens import DEFAULT_VOCABULARY, encoder
 
 MAGIC, SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = b"TKZD0001", 1000, 4000, 32 << 10
@@ -47,8 +47,8 @@ _ENTRY = np.dtype([("doc", "<i8"), ("n", "<i8"), ("at", "<i8"), ("size", "<i4")]
 def train_dictionary(docs: DataFrame, vocabulary: str, text: str, doc_id: str) -> bytes:
     """A dictionary from a bounded sample; raw content where the sample is too
     small to train on."""
-    picked = docs.select(F.substring(F.coalesce(F.col(text), F.lit("")), 1, SAMPLE_CHARS).alias("t"),
-                         F.xxhash64(doc_id, text).alias("h")).orderBy("h", "t").limit(SAMPLE_DOCS).collect()
+    src = docs.select(F.substring(F.coalesce(F.col(text), F.lit("")), 1, SAMPLE_CHARS).alias("t"), F.col(doc_id).alias("i"))
+    picked = hash_sample(src, SAMPLE_DOCS, "i", "t", total=docs.count()).collect()
     enc = encoder(vocabulary)
     arrays = [enc.encode(r.t.encode()).tobytes() for r in picked]
     try:
