@@ -267,6 +267,24 @@ def _score(shared_voc, shared):
     return run
 
 
+def _most_frequent(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of at most TOP words, by falling count: those above the
+    smallest step of a histogram of counts (a few hundred steps) that leaves
+    so few."""
+    step = F.when(F.col("c") < 64, F.col("c")).otherwise(F.floor(F.log2(F.col("c").cast("double")) * 32))  # 64: 192
+    steps = sorted(((r.step, r.n) for r in words.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    left, least = TOP, None
+    for s, n in steps:
+        if n > left:
+            break
+        left, least = left - n, s
+    some = words.filter(step >= least) if least is not None else words.limit(0)
+    t = some.select("key", "c").toArrow()
+    keys, counts = t.column("key").to_numpy(), t.column("c").to_numpy()
+    order = np.lexsort((keys, -counts))
+    return keys[order], counts[order]
+
+
 def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -275,8 +293,7 @@ def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
                       F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"))
     training = src.filter("not held_out").select("text")
     with Landed(training.mapInArrow(_count_words, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")), "words") as words:
-        top = words.orderBy(F.desc("c"), "key").limit(TOP).select("key", "c").toArrow()  # TOP rows at most
-        keys, counts = top.column("key").to_numpy(), top.column("c").to_numpy()
+        keys, counts = _most_frequent(words)
         singles = set(keys[:SINGLES].tolist())
         # one row a class
         shape = F.when(F.col("key").isin(list(singles)), -1).otherwise(F.col("key").bitwiseAND(F.lit(63)))

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aulaframe.llm.common import cut, table
+from aulaframe.llm.common import cut, hash_sample, table
 
 QUERY_BLOCK, CANDIDATE_BLOCK, PIVOTS, SLICE = 512, 2048, 48, 256
 _FOUND = "query_id long, vec_id long, score long"
@@ -112,7 +112,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, vec_id: st
                     F.count(F.when(is_query(F.col("vec_id")), 1)).alias("q")).first()
     width, largest = int(stats.w or 1), float(stats.m or 0.0)
     # pivots: a fixed number of vectors, the first in hash order
-    picked = src.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("v").collect()
+    picked = hash_sample(src, pivots, "vec_id", "norm", total=stats.n).select("v").collect()
     table = spark.sparkContext.broadcast(_matrix([r.v for r in picked], width))
     cand_blocks = max(1, -(-stats.n // CANDIDATE_BLOCK))
     query_blocks = max(1, -(-stats.q // QUERY_BLOCK))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aulaframe.llm.common import cut, documents, labels
+from aulaframe.llm.common import cut, documents, hash_sample, labels
 
 WORDS, PAIRS = 1 << 18, 1 << 20
 DISCOUNT, MAX_PER_CLASS, EVIDENCE = 0.75, 6000, 5
@@ -154,7 +154,7 @@ def fit(docs: DataFrame, marks: DataFrame, text: str = "text", doc_id: str = "do
     all_of = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(all_of) < 2:
         return None
-    some = [known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class) for k in (0, 1)]
+    some = [hash_sample(known.filter(F.col("toxic") == k), max_per_class, "doc_id", total=all_of[k]) for k in (0, 1)]
     # at most 2 * max_per_class rows of three numbers
     sample = cut(some[0].union(some[1])).withColumnRenamed("doc_id", "labelled")
     rows = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.col(doc_id).cast("long").alias("d")) \
