@@ -100,8 +100,9 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.
     limit = _thresholds(thin.select("source", "size", "h"), target.filter("extra > 0"))
     plan = target.alias("t").join(limit.alias("l"), F.col("t.source").eqNullSafe(F.col("l.source")), "left") \
         .select(F.col("t.source").alias("s"), "source_size", "target", "whole", "extra", "threshold")
-    # one row per source: left to the size-checked automatic broadcast; a hot
-    # source is split by the skew join otherwise
+    # one row per source: left to the size-checked automatic broadcast. Cut, so
+    # that it is shuffled by itself otherwise and the skew join can split a hot source
+    plan = cut(plan)
     base = rows if keep else thin
     j = base.join(plan, F.col("source").eqNullSafe(F.col("s")))
     more = F.when(F.col("extra") > 0, F.coalesce(F.col("h") < F.col("threshold"), F.lit(True))).otherwise(False)
