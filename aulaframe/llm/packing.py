@@ -72,22 +72,30 @@ def best_fit(counts: dict[int, int], window: int) -> list[tuple[int, int, int, i
         rank, left = 0, counts[length]
         while left:
             room = tree.tightest(length)
-            if room is None:
-                first, n, room = windows, left, window
-                windows += left
+            fresh = room is None
+            if fresh:
+                first, have, room = windows, left, window
             else:
                 first, have = open_at[room].pop()
-                n = min(left, have)
-                if n < have:
-                    open_at[room].append((first + n, have - n))
-                if not open_at[room]:
-                    tree.mark(room, False)
-            steps.append((length, rank, n, first, window - room))
-            rest = room - length
+            # a window that a piece has met is the tightest for the next equal
+            # piece, until it is full: ``deep`` pieces each go to ``n`` windows
+            deep = room // length
+            n = min(have, left // deep)
+            if not n:
+                n, deep = 1, left
+            if fresh:
+                windows += n
+            elif n < have:
+                open_at[room].append((first + n, have - n))
+            if not fresh and not open_at[room]:
+                tree.mark(room, False)
+            for layer in range(deep):
+                steps.append((length, rank + layer * n, n, first, window - room + layer * length))
+            rest = room - deep * length
             if rest:
                 open_at.setdefault(rest, []).append((first, n))
                 tree.mark(rest, True)
-            rank, left = rank + n, left - n
+            rank, left = rank + deep * n, left - deep * n
     return steps
 
 
