@@ -97,34 +97,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b): the
     smallest node reachable.
 
-    Minimum-label propagation with pointer jumping. Each round aggregates the
-    smallest neighbouring label per node (partial aggregation, so a node with
-    very many edges costs one row per task), then replaces each label by its
-    own label; the graph is contracted to its labels before the next round,
-    so the number of rounds grows with the logarithm of the diameter. Every
-    round is cut with ``checkpoint``; nothing is collected but a flag.
+    Random contraction: in each round a node joins the neighbour (or itself)
+    that comes first in an order drawn for the round, labels are replaced by
+    their own labels once, and the graph is contracted to the labels. The order
+    is random, so a constant share of the nodes goes in each round, on long
+    paths as well. A node with very many edges costs one row per task (partial
+    aggregation). Rounds are cut with ``checkpoint``; nothing is collected but
+    a flag.
     """
-    both = edges.filter("a <> b").select("a", "b").distinct()
-    cur = cut(both)
-    # map of every original node to its current representative
-    nodes = cut(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-                .withColumn("component", F.col("node")))
+    nodes = cut(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node")))
+    cur, step = cut(edges.filter("a <> b").select("a", "b").distinct()), 0
     while cur.take(1):
+        step += 1
+        at = lambda c, k=step: F.struct(F.xxhash64(c, F.lit(k)).alias("h"), F.col(c).alias("n"))
         sym = cur.union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lab = sym.groupBy("a").agg(F.min("b").alias("m")) \
-            .select("a", F.least("a", "m").alias("m"))
-        lab = cut(lab)
-        # jump: label of the label (a label is always a node of the graph)
-        l2 = lab.select(F.col("a").alias("m"), F.col("m").alias("m2"))
-        jump = cut(lab.join(l2, "m").select("a", F.col("m2").alias("m")))
-        l3 = jump.select(F.col("a").alias("m"), F.col("m").alias("m2"))
-        jump = cut(jump.join(l3, "m").select("a", F.col("m2").alias("m")))
+        first = sym.groupBy("a").agg(F.min(at("b")).alias("m"))
+        lab = cut(first.select("a", F.when(F.col("m") < at("a"), F.col("m.n")).otherwise(F.col("a")).alias("m")))
+        jump = cut(lab.join(lab.select(F.col("a").alias("m"), F.col("m").alias("m2")), "m").select("a", F.col("m2").alias("m")))
         nodes = cut(nodes.join(jump.select(F.col("a").alias("component"), "m"), "component", "left")
                     .select("node", F.coalesce("m", "component").alias("component")))
-        ma = jump.select("a", F.col("m").alias("na"))
-        mb = jump.select(F.col("a").alias("b"), F.col("m").alias("nb"))
-        cur = cut(cur.join(ma, "a").join(mb, "b")
-                  .filter("na <> nb")
-                  .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
-                  .distinct())
-    return nodes
+        ma, mb = jump.select("a", F.col("m").alias("na")), jump.select(F.col("a").alias("b"), F.col("m").alias("nb"))
+        cur = cut(cur.join(ma, "a").join(mb, "b").filter("na <> nb")
+                  .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct())
+    smallest = nodes.groupBy("component").agg(F.min("node").alias("low"))
+    return nodes.join(smallest, "component").select("node", F.col("low").alias("component"))
