@@ -63,12 +63,21 @@ def crosstab_margins(df: DataFrame, a: str, b: str) -> DataFrame:
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     """Pearson chi-square of independence: statistic, degrees of freedom,
     number of levels and rows; NULL categories excluded."""
-    ct = crosstab(df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()), a, b)
-    n_all = F.sum("n").over(Window.partitionBy())
-    e = F.sum("n").over(Window.partitionBy(a)) * F.sum("n").over(Window.partitionBy(b)) / n_all
-    cells = ct.select(a, b, "n", e.alias("e"), n_all.alias("n_all"))
+    return chi_square_of(crosstab(df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()), a, b), a, b)
+
+
+def chi_square_of(ct: DataFrame, a: str, b: str) -> DataFrame:
+    """The statistic from counted cells (a, b, n). Sums and products are
+    doubles, so counts of any size fit. Over the observed cells it is
+    sum((o - e)^2 / e); the cells that were never observed add their expected
+    counts, n - sum(e)."""
+    d = ct.withColumn("o", F.col("n").cast("double"))
+    n_all = F.sum("o").over(Window.partitionBy())
+    e = F.sum("o").over(Window.partitionBy(a)) * F.sum("o").over(Window.partitionBy(b)) / n_all
+    cells = d.select(a, b, "o", e.alias("e"), F.sum("n").over(Window.partitionBy()).alias("n_all"))
     s = cells.agg(
-        (F.sum(F.col("n") * F.col("n") / F.col("e")) - F.first("n_all")).alias("chi2"),
+        (F.sum((F.col("o") - F.col("e")) * (F.col("o") - F.col("e")) / F.col("e"))
+         + F.first("n_all").cast("double") - F.sum("e")).alias("chi2"),
         F.first("n_all").alias("n"),
         F.count_distinct(a).alias("rows"),
         F.count_distinct(b).alias("cols"))

@@ -44,10 +44,11 @@ def build_dim(df: DataFrame, cols: Sequence[str], key: str | None = None,
               natural: Sequence[str] | None = None) -> DataFrame:
     """Dimension = distinct attribute rows. If ``natural`` is given the key is
     the natural key (already unique); otherwise ``key`` is a stable
-    ``xxhash64`` of the attribute combination."""
+    ``xxhash64`` of the attribute combination, with a marker for each NULL
+    (the hash itself skips NULLs)."""
     d = df.select(*cols).distinct() if natural is None else df.select(*cols)
     if key and natural is None:
-        d = d.withColumn(key, F.xxhash64(*[F.col(c) for c in cols]))
+        d = d.withColumn(key, F.xxhash64(*[x for c in cols for x in (F.col(c).isNull(), F.col(c))]))
     return d
 
 

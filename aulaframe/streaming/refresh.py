@@ -29,10 +29,11 @@ def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
 
 
 def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
+    """None only where nothing was written yet; other read errors are raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         return None
+    return spark.read.parquet(path)
 
 
 def refresh(spark: SparkSession, landing: str, sink: str, checkpoint: str, schema: StructType,
@@ -45,7 +46,10 @@ def refresh(spark: SparkSession, landing: str, sink: str, checkpoint: str, schem
     def batch(df: DataFrame, epoch_id: int) -> None:
         _write_epoch(df, sink, epoch_id)
         if dim_path and dim_cols and dim_key:
-            members = df.select(*dim_cols).dropDuplicates([dim_key])
+            # the smallest attributes of a key stay, so a replay gives the same member
+            rest = [c for c in dim_cols if c != dim_key]
+            members = df.groupBy(dim_key).agg(F.min(F.struct(*rest)).alias("_m")).select(dim_key, "_m.*").select(*dim_cols) \
+                if rest else df.select(dim_key).distinct()
             old = _read_if_exists(spark, dim_path)
             if old is not None:
                 # members stored by earlier epochs (a replayed epoch sees its
