@@ -27,6 +27,7 @@ import gzip
 import hashlib
 import io
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -167,7 +168,7 @@ def _parse(batches):
                 rows.append((f["warc-record-id"], f.get("warc-segment-origin-id") or f["warc-record-id"],
                              int(f.get("warc-segment-number", 1)), number(f.get("warc-segment-total-length")), f["warc-type"],
                              number(f.get("x-page-id")), f.get("warc-target-uri"), number(f.get("x-refers-to-page-id")),
-                             f.get("warc-payload-digest", "").partition(":")[2], f["block"]))
+                             f.get("warc-payload-digest", "").partition(":")[2], zlib.compress(f["block"], 3)))  # shuffled compressed
                 held += len(f["block"])
                 if held > 8 << 20:
                     yield _batch(rows)
@@ -187,7 +188,7 @@ def _payloads(batches):
         cols = [b.column(i).to_pylist() for i in range(b.num_columns)]
         rows = []
         for page, target, kind, refers, digest, numbers, total, blocks in zip(*cols):
-            block = b"".join(blocks)
+            block = b"".join(map(zlib.decompress, blocks))
             if numbers != list(range(1, len(numbers) + 1)) or len(numbers) > 1 and total is None:
                 raise ValueError(f"page {page}: segments {numbers} aren't complete")
             if total is not None and total != len(block):
