@@ -257,28 +257,24 @@ def peaks_with_n(peaks: DataFrame, key: str = "module", q: float = 0.25) -> Data
 
 # ------------------------------------------------------- percentile ranks
 
-WINDOW_MAX_ROWS = 5_000_000  # largest group one task may sort (spillable)
-
-
 def percentile_in(df: DataFrame, col: str, by: str | Sequence[str] | None = None,
-                  buckets: int = 64, out: str = "pct_rank", method: str = "auto") -> DataFrame:
+                  buckets: int = 64, out: str = "pct_rank", method: str = "rank") -> DataFrame:
     """Exact ``percent_rank`` of ``col`` (nationally or within ``by``):
-    (rows strictly below) / (n - 1).
+    (rows strictly below) / (n - 1). :func:`rows_below` is joined back on
+    (group, value), so no task ever holds a whole group. NULL values have no
+    rank and don't count; NULL group keys are a group of their own.
 
-    ``"window"``: Spark's ``percent_rank`` window, which sorts each group in
-    one task; ``"rank"``: :func:`rows_below` (never a whole group in one
-    task) joined back on (group, value); ``"auto"``: the window only when a
-    count proves the largest group has at most ``WINDOW_MAX_ROWS`` rows."""
+    ``method="window"`` is a caller's choice for groups known to be small:
+    Spark's window, one sort per group, with the same results."""
     keys = _cols(by)
-    if method == "auto":
-        biggest = (df.groupBy(*keys).count().agg(F.max("count")).first()[0] if keys
-                   else df.count()) or 0
-        method = "window" if biggest <= WINDOW_MAX_ROWS else "rank"
     if method == "window":
         # NULL values form their own partition so they do not shift ranks
         w = Window.partitionBy(*keys, F.col(col).isNull()).orderBy(col)
         return df.withColumn(out, F.when(F.col(col).isNotNull(), F.percent_rank().over(w)))
     r = rows_below(df, col, keys, buckets)
-    r = r.select(*keys, col, F.when(F.col("_n") > 1, F.col("_below") / (F.col("_n") - 1))
-                 .otherwise(F.lit(0.0)).alias(out))
-    return df.join(r, keys + [col], "left")
+    r = r.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(col).alias("_v"),
+                 F.when(F.col("_n") > 1, F.col("_below") / (F.col("_n") - 1)).otherwise(F.lit(0.0)).alias(out))
+    on = F.col(col) == F.col("_v")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(r, on, "left").select(*df.columns, out)

@@ -82,7 +82,8 @@ def join_audit(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
         F.count_if(F.col("_l").isNull()).alias("right_only_keys"),
         F.max("_l").alias("left_max_multiplicity"),
         F.max("_r").alias("right_max_multiplicity"),
-        F.coalesce(F.sum(F.when(both, F.col("_l") * F.col("_r"))), F.lit(0)).cast("bigint").alias("inner_join_rows"))
+        F.coalesce(F.sum(F.when(both, F.col("_l").cast("decimal(19,0)") * F.col("_r").cast("decimal(19,0)"))), F.lit(0))
+        .cast("decimal(38,0)").alias("inner_join_rows"))
 
 
 def yearly_cross(parts: Sequence[DataFrame], year: str = "year") -> DataFrame:

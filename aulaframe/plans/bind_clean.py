@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aulaframe.functions.columns import (ACCENTED, PLAIN, money, normalise_text, pad_code, parse_period,
-                                        years_between)
+from aulaframe.functions.columns import (ACCENTED, PLAIN, money, normalise_text, pad_code, parse_period)
 from aulaframe.operators import clean as C
 from aulaframe.plans.registry import register
 from aulaframe.plans.views import (BLOCK_HEADER_ROW, BLOCK_SHEET, PARTIAL_LABELS_SQL, SCORE_FACT_SQL,
@@ -111,15 +110,14 @@ def impute_median(spark, sf_dir):
     return d.select("doc_id", "quality_imputed")
 
 
-YEARS = list(range(1995, 2002))
-
-
-def _orders_year(spark, sf_dir, y):
-    """One year's landed file: odd years lack the priority column, carry
-    the status under an old name and the amount as text (schema drift)."""
-    o = Tables(spark, sf_dir).orders.filter(years_between("o_orderdate", y, y))
-    o = o.withColumn("year", F.lit(y).cast("bigint"))
-    if y % 2:
+def _orders_landed(spark, sf_dir, odd):
+    """The landed files of the odd years, or all others (even years, rows
+    without a date). Odd years lack the priority column, carry the status under
+    an old name and the amount as text (schema drift)."""
+    year = F.year("o_orderdate").cast("bigint")
+    is_odd = F.coalesce(year % 2 == 1, F.lit(False))
+    o = Tables(spark, sf_dir).orders.filter(is_odd if odd else ~is_odd).withColumn("year", year)
+    if odd:
         o = (o.drop("o_orderpriority").withColumnRenamed("o_orderstatus", "status_code")
              .withColumn("o_totalprice", F.col("o_totalprice").cast("string")))
     return o
@@ -133,9 +131,9 @@ SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n,
        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM orders GROUP BY 1""")
 def union_by_name_years(spark, sf_dir):
-    parts = [C.conform(_orders_year(spark, sf_dir, y), renames={"status_code": "o_orderstatus"},
+    parts = [C.conform(_orders_landed(spark, sf_dir, odd), renames={"status_code": "o_orderstatus"},
                        casts={"o_totalprice": "double"})
-             for y in YEARS]
+             for odd in (True, False)]
     u = C.consolidate(parts)
     return u.groupBy("year").agg(F.count(F.lit(1)).alias("n"),
                                  F.count_if(F.col("o_orderpriority").isNull()).alias("n_null_priority"),
@@ -151,6 +149,7 @@ FROM orders GROUP BY 1, 2""")
 def consolidate_months(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     months = [o.filter(F.month("o_orderdate") == m) for m in range(1, 13)]  # 12 monthly files
+    months.append(o.filter(F.col("o_orderdate").isNull()))  # and the undated rows
     u = C.consolidate(months)
     return (u.groupBy(F.year("o_orderdate").cast("bigint").alias("year"),
                       F.month("o_orderdate").cast("bigint").alias("month"))

@@ -84,7 +84,8 @@ FULL OUTER JOIN (SELECT s_nationkey AS k, count(*) AS r FROM supplier GROUP BY 1
 def join_audit(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return K.join_audit(t.customer.select(F.col("c_nationkey").alias("k")),
-                        t.supplier.select(F.col("s_nationkey").alias("k")), ["k"])
+                        t.supplier.select(F.col("s_nationkey").alias("k")), ["k"]) \
+        .withColumn("inner_join_rows", F.col("inner_join_rows").cast("bigint"))
 
 
 @register("yearly_cross", floats=("mean_quantity",), ctes=(BUDGET_MONTH_SQL,), sql="""

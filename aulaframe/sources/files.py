@@ -14,7 +14,6 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from aulaframe.operators.ranking import rows_below
 
-WINDOW_MAX_ROWS = 5_000_000  # largest clash group one task may sort (counted first)
 
 # The sheet-grid layout of exported budget workbooks.
 CELL_SCHEMA = StructType([
@@ -71,19 +70,20 @@ def write_gold(df: DataFrame, path: str, by: str | Sequence[str] = "year") -> No
 def plan_renames(catalog: DataFrame, token_map: DataFrame, token: str = "token",
                  order: str = "origin") -> DataFrame:
     """Canonical names: '<CATEGORY>_<year><ext>', and ' (2)', ' (3)', ...
-    for later files (by ``order``) that would get the same name. The clash
-    ordinal is a distributed rank (see :func:`rows_below`)."""
+    for later files (by ``order``, NULL last, then ``path``) that would get the
+    same name. The clash ordinal is a distributed rank (see
+    :func:`rows_below`); only files that also share ``order`` are numbered by a
+    window."""
     j = catalog.join(token_map, token, "inner")
     base = F.concat(F.col("category"), F.lit("_"), F.col("year").cast("string"))
     j = j.withColumn("_base", F.concat(base, F.col("ext")))
-    biggest = j.groupBy("_base").count().agg(F.max("count")).first()[0] or 0
-    if biggest <= WINDOW_MAX_ROWS:
-        # every clash group is provably small: a plain window per name
-        j = j.withColumn("_below", F.row_number().over(Window.partitionBy("_base").orderBy(order)) - 1)
-    else:
-        rk = rows_below(j.select("_base", order), order, by=["_base"]).select("_base", order, "_below")
-        j = j.join(rk, ["_base", order])
-    k = F.col("_below") + 1
+    known = j.groupBy("_base").agg(F.count(order).alias("_known"))
+    rk = rows_below(j.filter(F.col(order).isNotNull()).select("_base", order), order, by=["_base"]).select("_base", order, "_below")
+    j = j.join(known, "_base", "left").join(rk, ["_base", order], "left")
+    ties = Window.partitionBy("_base", order).orderBy("path")
+    k = F.coalesce("_below", "_known", F.lit(0)) + F.row_number().over(ties)
+    j = j.withColumn("_k", k)
+    k = F.col("_k")
     final = F.when(k == 1, F.col("_base")).otherwise(
         F.concat(base, F.lit(" ("), k.cast("string"), F.lit(")"), F.col("ext")))
     return j.select(order, token, "category", "year", "path", final.alias("final_name"),
