@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+from contextlib import ExitStack
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from aulaframe.session import checkpoint_dir, scratch_path
 
 #: a word: a run of bytes that are not ASCII white space
 WORD = r"[^\x20\x09-\x0D]+"
+#: narrow rows (a few numbers) that one partition of an intermediate table holds
+ROWS_A_PARTITION = 200_000
+
 
 def ship(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver has it.
@@ -93,6 +98,36 @@ def input_partitions(df: DataFrame) -> int:
     return max(1, df.rdd.getNumPartitions())
 
 
+def _even(df: DataFrame) -> tuple[DataFrame, int]:
+    n = df.count()
+    return df.coalesce(max(1, -(-n // ROWS_A_PARTITION))), n
+
+
+def cut_even(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut`` and the number of rows, in partitions of ``ROWS_A_PARTITION``
+    rows: a table of narrow rows that has shrunk isn't spread over many empty
+    tasks. A partition's rows are bounded at every size."""
+    return _even(cut(df))
+
+
+def _stars(batches):
+    """Smallest node reachable within one partition's edges, for the others."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = root[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    nodes = [x for x in root if root[x] != x]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], ["a", "m"])
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b): the
     smallest node reachable.
@@ -102,22 +137,40 @@ def connected_components(edges: DataFrame) -> DataFrame:
     their own labels once, and the graph is contracted to the labels. The order
     is random, so a constant share of the nodes goes in each round, on long
     paths as well. A node with very many edges costs one row per task (partial
-    aggregation). Rounds are cut with ``checkpoint``; nothing is collected but
-    a flag.
+    aggregation). Each round's labels are kept and put together backwards, from
+    the smallest graph to the largest, so all rounds together cost a few times
+    the first. What is left when the edges fit one partition
+    (``ROWS_A_PARTITION``) is labelled there at once. Rounds are written tables (a checkpoint would hand the constraints
+    of each round's plan on to the next); nothing is collected but counts.
     """
-    nodes = cut(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node")))
-    cur, step = cut(edges.filter("a <> b").select("a", "b").distinct()), 0
-    while cur.take(1):
-        step += 1
-        at = lambda c, k=step: F.struct(F.xxhash64(c, F.lit(k)).alias("h"), F.col(c).alias("n"))
-        sym = cur.union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        first = sym.groupBy("a").agg(F.min(at("b")).alias("m"))
-        lab = cut(first.select("a", F.when(F.col("m") < at("a"), F.col("m.n")).otherwise(F.col("a")).alias("m")))
-        jump = cut(lab.join(lab.select(F.col("a").alias("m"), F.col("m").alias("m2")), "m").select("a", F.col("m2").alias("m")))
-        nodes = cut(nodes.join(jump.select(F.col("a").alias("component"), "m"), "component", "left")
-                    .select("node", F.coalesce("m", "component").alias("component")))
-        ma, mb = jump.select("a", F.col("m").alias("na")), jump.select(F.col("a").alias("b"), F.col("m").alias("nb"))
-        cur = cut(cur.join(ma, "a").join(mb, "b").filter("na <> nb")
-                  .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct())
-    smallest = nodes.groupBy("component").agg(F.min("node").alias("low"))
-    return nodes.join(smallest, "component").select("node", F.col("low").alias("component"))
+    with ExitStack() as tables:
+        def even(df: DataFrame) -> tuple[DataFrame, int]:
+            return _even(tables.enter_context(Landed(df, "components")))
+
+        nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        cur, n = even(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        rounds: list[DataFrame] = []
+        while n:
+            if n <= ROWS_A_PARTITION:
+                rounds.append(even(cur.mapInArrow(_stars, "a long, m long"))[0])
+                break
+            at = lambda c, k=len(rounds): F.struct(F.xxhash64(c, F.lit(k)).alias("h"), F.col(c).alias("n"))
+            ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+            first = cur.select(F.inline(ends)).groupBy("a").agg(F.min(at("b")).alias("m"))
+            lab, _ = even(first.select("a", F.when(F.col("m") < at("a"), F.col("m.n")).otherwise(F.col("a")).alias("m")))
+            jump, _ = even(lab.join(lab.select(F.col("a").alias("m"), F.col("m").alias("m2")), "m").select("a", F.col("m2").alias("m")))
+            rounds.append(jump)
+            ma, mb = jump.select("a", F.col("m").alias("na")), jump.select(F.col("a").alias("b"), F.col("m").alias("nb"))
+            cur, n = even(cur.join(ma, "a").join(mb, "b").filter("na <> nb")
+                              .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct())
+        whole = None
+        for jump in reversed(rounds):
+            if whole is not None:
+                later = whole.select(F.col("node").alias("m"), F.col("label").alias("r"))
+                jump, _ = even(jump.join(later, "m", "left").select("a", F.coalesce("r", "m").alias("m")))
+            whole = jump.select(F.col("a").alias("node"), F.col("m").alias("label"))
+        if whole is None:
+            return cut(nodes.withColumn("component", F.col("node")))
+        labelled, _ = even(nodes.join(whole, "node", "left").select("node", F.coalesce("label", "node").alias("label")))
+        smallest = labelled.groupBy("label").agg(F.min("node").alias("component"))
+        return cut_even(labelled.join(smallest, "label").select("node", "component"))[0]

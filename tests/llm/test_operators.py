@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from aulaframe.llm import exact_dedup, licenses, lm_scoring, mixing, ngram_join, packing, token_files, topk, toxicity, warc
+from aulaframe.llm import common, exact_dedup, licenses, lm_scoring, mixing, ngram_join, packing, token_files, topk, toxicity, warc
 from aulaframe.llm.common import connected_components, shared_folder, ship
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, row string"
@@ -137,7 +137,10 @@ def test_signatures_meet_for_linked_sets():
                     assert len(np.intersect1d(sig.of(a), sig.of(b)))
 
 
-def test_connected_components(spark):
+@pytest.mark.parametrize("rows", [5, 200_000])
+def test_connected_components(spark, monkeypatch, rows):
+    monkeypatch.setattr(common, "ROWS_A_PARTITION", rows)
+    ship(spark)
     r = random.Random(5)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(r.randrange(200, 300), r.randrange(200, 300)) for _ in range(60)]
     root = {x: x for e in edges for x in e}
