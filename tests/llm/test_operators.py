@@ -101,26 +101,52 @@ def test_mixing(docs, none):
     assert mixing.mix(none).count() == 0
 
 
-def test_ngram_join(docs, none):
-    rows = ngram_join.jaccard_components(docs).collect()
-    got = {(r.doc_id, r.n_shingles): r.component_id for r in rows}
-    assert len(rows) == len(_rows())
+def _brute_components(rows, n, percent):
+    """Per (doc_id, set size) the smallest known id reachable, by all pairs."""
     sets = []
-    for d, t, *_ in _rows():
+    for d, t in rows:
         w = (t or "").encode().translate(_LOWER).split()
-        sets.append((d, frozenset(tuple(w[k:k + 3]) for k in range(max(1, len(w) - 2))) if w else frozenset()))
+        sets.append((d, frozenset(tuple(w[k:k + n]) for k in range(max(1, len(w) - n + 1))) if w else frozenset()))
     root = list(range(len(sets)))
     for i, (_, a) in enumerate(sets):
         for j, (_, b) in enumerate(sets[:i]):
-            if a and b and 100 * len(a & b) >= 90 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = root[i], root[j]
                 root = [min(x, y) if z in (x, y) else z for z in root]
+    out = {}
     for i, (d, s) in enumerate(sets):
         ids = [sets[j][0] for j in range(len(sets)) if root[j] == root[i] and sets[j][0] is not None]
-        assert got[d, len(s)] == (min(ids) if ids else None)
+        out[d, len(s)] = min(ids) if ids else None
+    return out
+
+
+def test_ngram_join(docs, none):
+    rows = ngram_join.jaccard_components(docs).collect()
+    assert len(rows) == len(_rows())
+    assert {(r.doc_id, r.n_shingles): r.component_id for r in rows} == _brute_components([x[:2] for x in _rows()], 3, 90)
     assert ngram_join.jaccard_components(none).count() == 0
 
 
+def test_ngram_join_of_clusters_of_many_blocks(spark, monkeypatch):
+    """Small blocks: pivots, and the round of what didn't join the largest group."""
+    ship(spark)
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 4)
+    r = random.Random(11)
+    rows = []
+    for family in range(3):
+        base = [f"w{family}x{k}" for k in range(150)]
+        for _ in range(40):
+            words = list(base)
+            for k in r.sample(range(150), r.choice([1, 2, 2, 3, 4, 5, 6])):
+                words[k] = f"z{r.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    r.shuffle(rows)
+    want = _brute_components(rows, 3, 90)
+    assert 3 < len(set(want.values())) < len(rows)
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(x.doc_id, x.n_shingles): x.component_id for x in got} == want
+
+
 def test_signatures_meet_for_linked_sets():
     r = np.random.default_rng(3)
     for frequent in (0, 10**6):
