@@ -19,9 +19,14 @@ from aulaframe.llm.common import documents, labels, scratch_path, ship
 ORACLE_SQL = None
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` is a written table, so a row's number is the same in each scan."""
-    return docs.withColumn("__row", F.monotonically_increasing_id())
+def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, written in the shared folder and
+    read again. The number is data: computed anew in each scan it would follow
+    the splits, and these follow the cores registered at that moment. The table
+    stays, as those of the stages do: a stage's result is read after it returns."""
+    path = scratch_path(spark, "pipeline-numbered")
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
     ship(spark)
-    rows = _numbered(docs)
+    rows = _numbered(spark, docs)
     kept = exact_dedup.exact_groups(rows, keep="max", row="__row").filter("kept").select(F.col("row").alias("__row"))
     return rows.join(kept, "__row", "left_semi").drop("__row")
 
@@ -42,7 +47,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of the documents that links connect, the one with the smallest id stays.
     Five-word shingles, Jaccard similarity of 0.8 or more."""
     ship(spark)
-    rows = _numbered(docs)
+    rows = _numbered(spark, docs)
     groups = ngram_join.jaccard_components(rows, n=5, percent=80, doc_id="__row")
     ids = rows.select(F.col("__row").alias("doc_id"), F.col("doc_id").alias("id"))
     first = groups.join(ids, "doc_id").groupBy("component_id") \
