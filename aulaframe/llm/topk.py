@@ -58,7 +58,8 @@ def search_block(q_ids, q, c_ids, c, largest: float, pivots: np.ndarray, k: int,
     table = _pivot_table(c, np.sqrt(np.maximum(largest - c_norm, 0)), pivots)
     q_norm = (q * q).sum(1)
     q_table = _pivot_table(q, np.zeros(len(q)), pivots)
-    tie = np.array([math.inf if i is None or i != i else i for i in c_ids], float)
+    null = np.array([i is None for i in c_ids], bool)
+    ids = np.array([0 if i is None else i for i in c_ids], np.int64)
     rows, evaluated = [], 0
     for i in range(len(q)):
         lower = np.abs(table - q_table[i]).max(1)
@@ -72,15 +73,15 @@ def search_block(q_ids, q, c_ids, c, largest: float, pivots: np.ndarray, k: int,
             some = some[upper[some] >= least]
             if not len(some):
                 break
-            some = some[tie[some] != q_ids[i]]
+            some = some[null[some] | (ids[some] != q_ids[i])]
             evaluated += len(some)
             scores, places = np.append(scores, c[some] @ q[i]), np.append(places, some)
             if len(scores) >= k:
-                best = np.lexsort((tie[places], -scores))[:k]
+                best = np.lexsort((ids[places], null[places], -scores))[:k]
                 scores, places = scores[best], places[best]
                 least = max(least, scores[-1])
-        best = np.lexsort((tie[places], -scores))[:k]
-        rows += [(q_ids[i], None if math.isinf(tie[p]) else int(tie[p]), int(s)) for s, p in zip(scores[best], places[best])]
+        best = np.lexsort((ids[places], null[places], -scores))[:k]
+        rows += [(q_ids[i], None if null[p] else int(ids[p]), int(s)) for s, p in zip(scores[best], places[best])]
     return rows, evaluated
 
 
@@ -89,10 +90,12 @@ def _task(largest: float, width: int, pivots, k: int):
         rows = []
         if len(left) and len(right):
             floor = left["floor"].fillna(-math.inf).to_numpy() if "floor" in left else None
-            ids = [None if x is None or x != x else int(x) for x in right["c_id"]]
+            ids = [None if n else i for i, n in zip(right["c_id"].tolist(), right["c_null"].tolist())]
             rows, _ = search_block(left["vec_id"].tolist(), _matrix(left["v"], width), ids, _matrix(right["c_v"], width),
                                    largest, pivots.value, k, floor)
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "Int64", "score": "int64"})
+        query, found, score = zip(*rows) if rows else ((), (), ())
+        # each column is made with its type: a null id would turn the others to floats
+        return pd.DataFrame({"query_id": np.array(query, np.int64), "vec_id": pd.array(found, "Int64"), "score": np.array(score, np.int64)})
 
     return run
 
@@ -116,7 +119,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, vec_id: st
     table = spark.sparkContext.broadcast(_matrix([r.v for r in picked], width))
     cand_blocks = max(1, -(-stats.n // CANDIDATE_BLOCK))
     query_blocks = max(1, -(-stats.q // QUERY_BLOCK))
-    cand = src.select(F.col("vec_id").alias("c_id"), F.col("v").alias("c_v"), F.pmod(F.xxhash64("vec_id", "norm", "v"), F.lit(cand_blocks)).alias("cb"))
+    cand = src.select(F.coalesce("vec_id", F.lit(0).cast("long")).alias("c_id"), F.col("vec_id").isNull().alias("c_null"), F.col("v").alias("c_v"), F.pmod(F.xxhash64("vec_id", "norm", "v"), F.lit(cand_blocks)).alias("cb"))
     query = src.filter(is_query(F.col("vec_id"))).dropDuplicates(["vec_id"]) \
         .select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("qb"))
     task = _task(largest, width, table, k)

@@ -269,6 +269,23 @@ def test_top_k(spark):
     assert {x.query_id for x in got} == {0, 20, 40, 60}
 
 
+@pytest.mark.parametrize("start", [2**53 - 40, 2**62, -2**62])
+def test_top_k_of_large_ids(spark, start):
+    ship(spark)
+    r = random.Random(5)
+    ids = [start + i for i in range(60)] + [None]
+    vectors = [[r.choice([-0.5, 0.5]) for _ in range(3)] for _ in ids]
+    rows = spark.createDataFrame(list(zip(ids, vectors)), "vec_id long, embedding array<float>")
+    got = topk.top_k(rows, lambda i: i % 20 == 0, k=25, pivots=5).collect()
+    floored = [[math.floor(64 * x) for x in v] for v in vectors]
+    queries = [i for i in ids[:-1] if i % 20 == 0]
+    for q in queries:
+        want = sorted((-sum(a * b for a, b in zip(floored[ids.index(q)], v)), i is None, i or 0) for i, v in zip(ids, floored) if i != q)[:25]
+        mine = sorted((x for x in got if x.query_id == q), key=lambda x: x.rank)
+        assert [(x.vec_id, x.score) for x in mine] == [(None if n else i, -s) for s, n, i in want]
+    assert queries and {x.query_id for x in got} == set(queries)
+
+
 def test_toxicity(spark, docs, none):
     r = random.Random(4)
     words = [f"w{i}" for i in range(60)]
