@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from aulaframe.functions.columns import safe_corr
 from aulaframe.operators.ranking import rows_below
-from aulaframe.operators.univariate import DEFAULT_METHOD, _cols, aggregate_with_quantiles, quantile_table
+from aulaframe.operators.univariate import DEFAULT_METHOD, _cols, aggregate_with_quantiles, join_on_keys, quantile_table
 
 # Conventional effect-size cut points (Cohen); parameters,
 # not findings.
@@ -100,7 +100,7 @@ def group_gap(long: DataFrame, by: str, a: str, b: str, value: str = "score",
                               F.avg(va).alias("mean_a"), F.avg(vb).alias("mean_b"))
     ma = quantile_table(long.filter(F.col(by) == F.lit(a)), [key], value, [0.5], ["median_a"], method)
     mb = quantile_table(long.filter(F.col(by) == F.lit(b)), [key], value, [0.5], ["median_b"], method)
-    out = m.join(ma, key, "left").join(mb, key, "left")
+    out = join_on_keys(join_on_keys(m, ma, [key], "left"), mb, [key], "left")
     return (out.withColumn("mean_gap", F.col("mean_a") - F.col("mean_b"))
             .withColumn("median_gap", F.col("median_a") - F.col("median_b")))
 

@@ -4,14 +4,15 @@ Conventions
 - Scores arrive in long form (``module``, ``score``) built with ``unpivot``,
   so one aggregation pass serves every module.
 - Quantiles are exact with linear interpolation. ``method`` chooses how:
-  ``"rank"`` - distributed exact order statistics
+  ``"rank"`` (default at every size) - distributed exact order statistics
   (:mod:`aulaframe.operators.ranking`): no group is ever held in one task;
   ``"map"`` - Spark's ``percentile`` in the same pass as the moments; its
   per-group buffer is a value -> count map, fine when the domain is small
-  (scores on a 0-300 integer scale) but unbounded for continuous measures;
-  ``"approx"`` - ``percentile_approx`` (bounded sketch, approximate);
-  ``"auto"`` (default) - ``"map"`` when a HyperLogLog pass proves every
-  group small enough, else ``"rank"``; exact either way.
+  (scores on a 0-300 integer scale) but unbounded for continuous measures,
+  so it is a caller's explicit choice;
+  ``"approx"`` - ``percentile_approx`` (bounded sketch, approximate).
+  A group whose values are all NULL is a row with n = 0 and NULL statistics
+  by every method; NULL values are not counted.
 - Shares over a total are computed on the aggregated table (one row per
   category), never with an unpartitioned window over raw rows.
 
@@ -30,15 +31,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aulaframe.operators.ranking import exact_quantiles, value_counts
+from aulaframe.operators.ranking import exact_quantiles
 from aulaframe.session import checkpoint_dir
 
 MAX_BROADCAST_GROUPS = 1_000_000  # per-group summary rows broadcast only below this (counted)
 
 QUARTILES = [0.25, 0.5, 0.75]
-DEFAULT_METHOD = "auto"
-# per-group distinct values allowed in one percentile map (~100 bytes per
-# boxed entry: <= ~100 MB in the task that merges the largest group)
+DEFAULT_METHOD = "rank"
+# per-group distinct values for which one percentile map is small (~100 bytes
+# per boxed entry: <= ~100 MB in the task that merges the largest group)
 MAP_MAX_DISTINCT = 1_000_000
 
 
@@ -59,7 +60,7 @@ def quantiles(x: str | Column, probs: Sequence[float], approx: bool = False,
     return F.percentile(c, arr)
 
 
-def join_on_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_on_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join two per-group tables on their keys, NULL keys matching NULL."""
     keys = list(keys)
     if not keys:
@@ -69,32 +70,19 @@ def join_on_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     for k in keys:
         e = a[k].eqNullSafe(br[f"_k_{k}"])
         cond = e if cond is None else cond & e
-    return a.join(br, cond, "inner").drop(*[f"_k_{k}" for k in keys])
-
-
-def choose_method(long: DataFrame, keys: Sequence[str], value: str, method: str) -> str:
-    """Resolve ``"auto"``: the single-pass ``percentile`` keeps one value ->
-    count map per group, so it is used only when a HyperLogLog estimate
-    proves every group has at most ``MAP_MAX_DISTINCT`` distinct values;
-    otherwise the distributed ``"rank"`` path is taken. Both are exact."""
-    if method != "auto":
-        return method
-    per_group = long.groupBy(*keys).agg(F.approx_count_distinct(value, 0.02).alias("_d"))
-    mx = per_group.agg(F.max("_d")).first()[0] or 0
-    return "map" if mx * 1.1 <= MAP_MAX_DISTINCT else "rank"
+    return a.join(br, cond, how).drop(*[f"_k_{k}" for k in keys])
 
 
 def aggregate_with_quantiles(long: DataFrame, keys: Sequence[str], value: str, aggs: Sequence[Column],
                              probs: Sequence[float], names: Sequence[str],
                              method: str = DEFAULT_METHOD) -> DataFrame:
-    """Per-group aggregates plus exact quantiles: ONE aggregation pass when
-    the (checked) method allows the quantiles to ride along, otherwise the
-    moments pass joined with the distributed quantile table."""
+    """Per-group aggregates plus exact quantiles: the moments pass joined
+    with the distributed quantile table, or ONE aggregation pass with the
+    ``map`` and ``approx`` methods."""
     keys = list(keys)
-    method = choose_method(long, keys, value, method)
     if method == "rank":
         m = long.groupBy(*keys).agg(*aggs)
-        return join_on_keys(m, quantile_table(long, keys, value, probs, names, method), keys)
+        return join_on_keys(m, exact_quantiles(long, value, probs, keys, names), keys, "left")
     q = quantiles(value, probs, approx=(method == "approx"))
     out = long.groupBy(*keys).agg(*aggs, q.alias("_q"))
     return out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]).drop("_q")
@@ -104,9 +92,10 @@ def quantile_table(long: DataFrame, keys: Sequence[str], value: str, probs: Sequ
                    names: Sequence[str], method: str = DEFAULT_METHOD) -> DataFrame:
     """One row per group with the requested quantiles as columns."""
     keys = list(keys)
-    method = choose_method(long, keys, value, method)
     if method == "rank":
-        return exact_quantiles(long, value, probs, keys, names)
+        q = exact_quantiles(long, value, probs, keys, names)
+        # groups without a value have no quantiles, but they are groups
+        return join_on_keys(long.select(*keys).distinct(), q, keys, "left") if keys else q
     q = quantiles(value, probs, approx=(method == "approx"))
     return long.groupBy(*keys).agg(q.alias("_q")).select(
         *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
@@ -229,10 +218,11 @@ def box_stats(long: DataFrame, by: str | Sequence[str] | None = None,
     """
     keys = _cols(by) + [key]
     qn = ["q1", "median", "q3"]
-    method = choose_method(long, keys, value, method)
+    checkpoint_dir(long.sparkSession)
     if method == "rank":
-        src = value_counts(long, value, keys)
-        q = exact_quantiles(src, value, QUARTILES, keys, qn, counted=True)
+        # one row a group for its NULL values, so that every group is kept
+        src = long.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
+        q = exact_quantiles(src.filter(F.col(value).isNotNull()), value, QUARTILES, keys, qn, counted=True)
     else:
         src = long.select(*keys, value, F.lit(1).cast("bigint").alias("_c"))
         q = quantile_table(long, keys, value, QUARTILES, qn, method)
@@ -241,14 +231,13 @@ def box_stats(long: DataFrame, by: str | Sequence[str] | None = None,
          .withColumn("hi_fence", F.col("q3") + F.lit(k) * F.col("iqr"))
     # one row per group: materialise, count, and broadcast it when small so
     # the (large) value side is never shuffled for this join
-    checkpoint_dir(long.sparkSession)
     q = q.checkpoint(eager=True)
     groups = q.count()
-    j = join_on_keys(src, F.broadcast(q) if groups <= MAX_BROADCAST_GROUPS else q, keys)
+    j = join_on_keys(src, F.broadcast(q) if groups <= MAX_BROADCAST_GROUPS else q, keys, "left")
     v, c = F.col(value), F.col("_c")
     zero = F.lit(0).cast("bigint")
     return j.groupBy(*keys, "q1", "median", "q3", "iqr", "lo_fence", "hi_fence").agg(
-        F.sum(c).alias("n"),
+        F.coalesce(F.sum(F.when(v.isNotNull(), c)), zero).alias("n"),
         F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_lo"),
         F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_hi"),
         F.sum(F.when(v < F.col("lo_fence"), c).otherwise(zero)).alias("n_out_lo"),

@@ -115,16 +115,17 @@ def score_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_quantile_method(spark: SparkSession, sf_dir: str) -> str:
-    """Quantile method for analyses of ``score_long`` grouped by module:
-    every group's distinct values are bounded by the largest per-module
+    """A method that a caller may choose for quantiles of ``score_long``
+    grouped by module (the registered analyses don't, they rank at every
+    size): every group's distinct values are bounded by the largest per-module
     distinct count stored with the gold table, so when that bound is small
     the single-pass map is provably safe and no estimation pass is needed."""
     score_fact(spark, sf_dir)  # ensure the table (and its statistics) exist
     st = gold_stats(spark, sf_dir, "score_fact", SCORE_INPUTS)
     if any(st.get(m) is None for m in MODULES):
-        return "auto"
+        return "rank"
     bound = max(st[m] for m in MODULES)
-    return "map" if bound * 1.1 <= MAP_MAX_DISTINCT else "auto"
+    return "map" if bound * 1.1 <= MAP_MAX_DISTINCT else "rank"
 
 
 def score_fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
