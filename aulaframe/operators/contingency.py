@@ -33,12 +33,20 @@ def levels(df: DataFrame, col: str, max_levels: int = MAX_PIVOT_LEVELS) -> list:
 
 def crosstab_wide(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> DataFrame:
     """Wide table: one row per level of ``a``, one count column per level
-    of ``b`` (0 for empty cells). Passing ``values`` avoids the extra job
-    that discovers the levels."""
-    values = list(values) if values is not None else levels(df, b)
-    w = df.groupBy(a).pivot(b, values).agg(F.count(F.lit(1)))
-    return w.select(a, *[F.coalesce(F.col(f"`{v}`"), F.lit(0).cast("bigint")).alias(str(v))
-                         for v in values])
+    of ``b`` (0 for empty cells). Rows whose ``b`` is NULL, if there are any,
+    are counted in a last column ``null`` (with underscores added while a
+    level has that name). Passing ``values`` (None for NULL) avoids the extra
+    jobs that discover the levels."""
+    if values is None:
+        values = levels(df, b) + [None] * (not df.filter(F.col(b).isNull()).isEmpty())
+    values = list(values)
+    names = [str(v) for v in values if v is not None]
+    null = "null"
+    while null in names:
+        null += "_"
+    w = df.groupBy(a).pivot(b, values).agg(F.count(F.lit(1))).toDF(a, *[f"_c{i}" for i in range(len(values))])
+    return w.select(a, *[F.coalesce(F.col(f"_c{i}"), F.lit(0).cast("bigint")).alias(null if v is None else str(v))
+                         for i, v in enumerate(values)])
 
 
 def crosstab_pct(ct: DataFrame, a: str, b: str) -> DataFrame:
