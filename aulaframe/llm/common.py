@@ -88,6 +88,13 @@ def shared_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB expression: CRC-32 (reflected, polynomial EDB88320) of an ASCII text."""
+    bit = "list_reduce(list_concat([xor(a, b)], repeat([0::BIGINT], 8)), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda j: ascii(({text})[j])::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda a, b: {bit}), 4294967295)"
+
+
 def lower_ascii(col):
     """Lower-cases A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

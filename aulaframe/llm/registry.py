@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from aulaframe.llm import (
-    exact_dedup, licenses, lm_scoring, mixing, ngram_join, packing, token_files, topk, toxicity, warc)
+    conversations, exact_dedup, licenses, lm_scoring, mixing, ngram_join, packing, token_files, topk, toxicity, warc)
 
 QUERIES = {f.__name__: f for f in (
     packing.op1_pack_best_fit, mixing.op2_mix_sources, ngram_join.op3_ngram_jaccard_join, exact_dedup.op4_exact_dedup,
     warc.op5_warc_segments, lm_scoring.op6_maxent_lm, token_files.op7_token_files, topk.op8_pivot_topk,
-    toxicity.op9_toxicity, licenses.op10_license_join)}
+    toxicity.op9_toxicity, licenses.op10_license_join, conversations.op11_conversation_repair)}
 
 ORACLES = {
     "op2_mix_sources": mixing.OP2_SQL,
@@ -16,4 +16,5 @@ ORACLES = {
     "op5_warc_segments": warc.OP5_SQL,
     "op8_pivot_topk": topk.OP8_SQL,
     "op10_license_join": licenses.OP10_SQL,
+    "op11_conversation_repair": conversations.OP11_SQL,
 }
