@@ -95,6 +95,12 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda a, b: {bit}), 4294967295)"
 
 
+def let(value, body):
+    """``body`` of a value that is computed once for a row, wherever the body
+    uses it (a plain column would be put in, and computed, at each place)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def lower_ascii(col):
     """Lower-cases A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

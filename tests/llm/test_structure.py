@@ -7,9 +7,10 @@ from collections import Counter
 from itertools import product
 
 import duckdb
+import numpy as np
 import pytest
 
-from aulaframe.llm import conversations
+from aulaframe.llm import conversations, periodic_runs
 from aulaframe.llm.common import ship
 
 
@@ -103,3 +104,66 @@ def test_repaired_rows_are_whole_conversations(spark):
         shape = "".join(x.role[0] for x in xs)
         assert [x.place for x in xs] == list(range(len(xs)))
         assert shape.removeprefix("s") == "ua" * (len(shape.removeprefix("s")) // 2), conv
+
+
+DOCS = "doc_id long, text string, words string, digest string"
+
+
+def _run_docs():
+    r = random.Random(9)
+    base = [str(r.randrange(10**6)) for _ in range(3000)]
+    long = [str(r.randrange(400)) for _ in range(700)] + base * 5 + base[:1234] + ["end"] * 50  # periods of two sets of tiles
+    texts = [None, "", " \t\n", "one", "a " * 5, "a " * 6, "a\tb\n" * 4, "a b " * 3 + "a", " x  y\x0bz\r" * 30 + "x q", " ".join(long), "w " * 9000,
+             "É é " * 20, "a a b " * 9 + "a a c " * 9, "u v w x " * 4 + "u v w x y " * 4]
+    for _ in range(60):
+        words = []
+        for _ in range(r.randrange(1, 6)):
+            x = [r.choice("abc") for _ in range(r.choice([1, 2, 3, 5, 8, 20]))]
+            words += (x * 12)[:int(len(x) * r.uniform(1, 11))]
+        texts.append(" ".join(words))
+    rows = [(i, t, "x", None) for i, t in enumerate(texts)]
+    return rows + [rows[8], (8, "other text", "x", None), (None, "n o " * 8, "x", None), (None, None, None, None)]
+
+
+def test_periodic_runs(spark, tmp_path):
+    ship(spark)
+    spark.createDataFrame(_run_docs(), DOCS).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = periodic_runs.op13_periodic_runs(spark, str(tmp_path)).toArrow()
+    want = duckdb.sql(periodic_runs.OP13_SQL.replace("FROM documents", f"FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")).to_arrow_table()
+    assert got.num_rows == len(_run_docs())
+    assert _rows(got) == _rows(want)
+    assert max(x or 0 for x in got.column("period").to_pylist()) > 2000
+
+
+def test_tile_runs_by_all_places_and_periods():
+    r = random.Random(2)
+    for _ in range(120):
+        words = []
+        for _ in range(r.randrange(1, 9)):
+            x = [r.randrange(3) for _ in range(r.choice([1, 1, 2, 3, 4, 7, 8, 15, 16, 17, 40]))]
+            words += (x * 30)[:int(len(x) * r.choice([0.5, 2, 5, 9, 25]))]
+        want = {}
+        for q in range(1, len(words) // 4 + 1):
+            i = 0
+            while i + q < len(words):
+                j = i
+                while j + q < len(words) and words[j] == words[j + q]:
+                    j += 1
+                if j - i + q >= max(6, 4 * q) and j > i:
+                    want.setdefault((i, j - i + q), q)
+                i = max(j, i + 1)
+        found = periodic_runs.tile_runs(np.array(words), np.array([0, len(words)]), [1 << k for k in range(9)]) if words else []
+        assert sorted((a, z - a, q) for _, q, a, z in found) == sorted((*k, q) for k, q in want.items())
+
+
+def test_z_function():
+    r = random.Random(4)
+    for _ in range(200):
+        s = [r.randrange(2) for _ in range(r.randrange(1, 200))] * r.randrange(1, 3)
+        want = [next((k for k in range(len(s) - i) if s[k] != s[i + k]), len(s) - i) for i in range(len(s))]
+        assert periodic_runs.z_function(s, len(s) - 1) == want
+
+
+def test_no_documents_have_no_runs(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert periodic_runs.op13_periodic_runs(spark, str(tmp_path)).count() == 0
