@@ -2,6 +2,7 @@
 and long texts, repeated rows, ties, extra columns and no rows, against SQL and
 brute force."""
 
+import hashlib
 import random
 from collections import Counter
 from itertools import product
@@ -9,8 +10,9 @@ from itertools import product
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from aulaframe.llm import conversations, periodic_runs
+from aulaframe.llm import conversations, fingerprints, periodic_runs
 from aulaframe.llm.common import ship
 
 
@@ -167,3 +169,51 @@ def test_z_function():
 def test_no_documents_have_no_runs(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     assert periodic_runs.op13_periodic_runs(spark, str(tmp_path)).count() == 0
+
+
+def _fingerprint_docs():
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(1, 7)))
+    para = lambda n: " ".join(word() for _ in range(n))
+    texts = [None, "", " \n\t", "é", "one", "two\nlines", "𝄞 é ü", para(5000), "\n".join(para(r.randrange(1, 60)) for _ in range(400))]
+    texts += ["\n".join(para(r.randrange(1, 50)) for _ in range(r.randrange(1, 30))) for _ in range(60)]
+    texts += ["same paragraph\n" * 50, texts[9]]
+    rows = [(i * 7 % 71, t, "x", None) for i, t in enumerate(texts)]
+    return rows + [rows[8], rows[8], (rows[8][0], "other", "x", None), (None, "null id", None, None), (None, None, None, None), (-2**63, "first", "x", None), (2**63 - 1, "last", "x", None)]
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_fingerprints(spark, tmp_path, partitions):
+    ship(spark)
+    spark.createDataFrame(_fingerprint_docs(), DOCS).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        got = fingerprints.op12_bloom_fingerprints(spark, str(tmp_path)).toArrow()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = duckdb.sql(fingerprints.OP12_SQL.replace("FROM documents", f"FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")).to_arrow_table()
+    assert got.num_rows == len(_fingerprint_docs())
+    assert _rows(got) == _rows(want)
+
+
+def test_differences_are_recovered(spark):
+    """Few and many differing digests, whether the first sketch holds them or not."""
+    r = random.Random(8)
+    rows = []
+    for n, d in [(0, 0), (0, 3), (5, 0), (100, 1), (100, 5), (100, 12), (100, 90), (2000, 3), (2000, 1500)]:
+        both = [r.getrandbits(60) for _ in range(n)]
+        a, b = ([r.getrandbits(60) for _ in range(d)] for _ in range(2))
+        rows.append((both + a, b + both, a, b))
+    df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>, x array<bigint>, y array<bigint>")
+    for row in df.select(fingerprints.difference(F.col("a"), F.col("b")).alias("d"), "x", "y").collect():
+        assert sorted(row.d.a) == sorted(row.x) and sorted(row.d.b) == sorted(row.y)
+
+
+def test_one_and_no_document(spark, tmp_path):
+    ship(spark)
+    spark.createDataFrame([(3, "abcd", None, None)], DOCS).write.parquet(f"{tmp_path}/1/documents.parquet")
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/0/documents.parquet")
+    row, = fingerprints.op12_bloom_fingerprints(spark, f"{tmp_path}/1").collect()
+    assert (row.n_chars, row.near_next, row.edited_sha256) == (4, 1.0, hashlib.sha256(b"abab").hexdigest())
+    assert fingerprints.op12_bloom_fingerprints(spark, f"{tmp_path}/0").count() == 0
