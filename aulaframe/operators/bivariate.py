@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aulaframe.functions.columns import safe_corr
-from aulaframe.operators.ranking import rows_below
-from aulaframe.operators.univariate import DEFAULT_METHOD, _cols, aggregate_with_quantiles, join_on_keys, quantile_table
+from aulaframe.operators.ranking import join_on_keys, with_rows_below
+from aulaframe.operators.univariate import DEFAULT_METHOD, _cols, aggregate_with_quantiles
 
 # Conventional effect-size cut points (Cohen); parameters,
 # not findings.
@@ -92,17 +92,15 @@ def flag_small(stats: DataFrame, min_n: int = 30) -> DataFrame:
 
 def group_gap(long: DataFrame, by: str, a: str, b: str, value: str = "score",
               key: str = "module", method: str = DEFAULT_METHOD) -> DataFrame:
-    """Mean and median gap between two groups, by conditional aggregation
-    in one pass (no join)."""
-    va = F.when(F.col(by) == F.lit(a), F.col(value))
-    vb = F.when(F.col(by) == F.lit(b), F.col(value))
-    m = long.groupBy(key).agg(F.count(va).alias("n_a"), F.count(vb).alias("n_b"),
-                              F.avg(va).alias("mean_a"), F.avg(vb).alias("mean_b"))
-    ma = quantile_table(long.filter(F.col(by) == F.lit(a)), [key], value, [0.5], ["median_a"], method)
-    mb = quantile_table(long.filter(F.col(by) == F.lit(b)), [key], value, [0.5], ["median_b"], method)
-    out = join_on_keys(join_on_keys(m, ma, [key], "left"), mb, [key], "left")
-    return (out.withColumn("mean_gap", F.col("mean_a") - F.col("mean_b"))
-            .withColumn("median_gap", F.col("median_a") - F.col("median_b")))
+    """Mean and median gap between two groups: both groups' statistics from one
+    selection, side by side by conditional aggregation."""
+    stats = aggregate_with_quantiles(long.filter(F.col(by).isin(a, b)), [key, by], value,
+                                     [F.count(value).alias("n"), F.avg(value).alias("mean")], [0.5], ["median"], method)
+    side = [F.max(F.when(F.col(by) == F.lit(g), F.col(c))).alias(f"{c}_{s}") for c in ("n", "mean", "median") for s, g in (("a", a), ("b", b))]
+    out = join_on_keys(long.select(key).distinct(), stats.groupBy(key).agg(*side), [key], "left")
+    none = F.lit(0).cast("bigint")
+    return out.select(key, F.coalesce("n_a", none).alias("n_a"), F.coalesce("n_b", none).alias("n_b"), "mean_a", "mean_b", "median_a", "median_b",
+                      (F.col("mean_a") - F.col("mean_b")).alias("mean_gap"), (F.col("median_a") - F.col("median_b")).alias("median_gap"))
 
 
 def effect_size_two(long: DataFrame, by: str, a: str, b: str, value: str = "score",
@@ -258,11 +256,12 @@ def peaks_with_n(peaks: DataFrame, key: str = "module", q: float = 0.25) -> Data
 # ------------------------------------------------------- percentile ranks
 
 def percentile_in(df: DataFrame, col: str, by: str | Sequence[str] | None = None,
-                  buckets: int = 64, out: str = "pct_rank", method: str = "rank") -> DataFrame:
+                  out: str = "pct_rank", method: str = "rank") -> DataFrame:
     """Exact ``percent_rank`` of ``col`` (nationally or within ``by``):
-    (rows strictly below) / (n - 1). :func:`rows_below` is joined back on
-    (group, value), so no task ever holds a whole group. NULL values have no
-    rank and don't count; NULL group keys are a group of their own.
+    (rows strictly below) / (n - 1), by
+    :func:`~aulaframe.operators.ranking.with_rows_below`, so no task ever holds a
+    whole group. NULL values have no rank and don't count; NULL group keys are a
+    group of their own.
 
     ``method="window"`` is a caller's choice for groups known to be small:
     Spark's window, one sort per group, with the same results."""
@@ -271,10 +270,6 @@ def percentile_in(df: DataFrame, col: str, by: str | Sequence[str] | None = None
         # NULL values form their own partition so they do not shift ranks
         w = Window.partitionBy(*keys, F.col(col).isNull()).orderBy(col)
         return df.withColumn(out, F.when(F.col(col).isNotNull(), F.percent_rank().over(w)))
-    r = rows_below(df, col, keys, buckets)
-    r = r.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(col).alias("_v"),
-                 F.when(F.col("_n") > 1, F.col("_below") / (F.col("_n") - 1)).otherwise(F.lit(0.0)).alias(out))
-    on = F.col(col) == F.col("_v")
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return df.join(r, on, "left").select(*df.columns, out)
+    r = with_rows_below(df, col, keys)
+    share = F.when(F.col("_size") > 1, F.col("_below") / (F.col("_size") - 1)).when(F.col("_size") == 1, F.lit(0.0))
+    return r.withColumn(out, share).select(*df.columns, out)

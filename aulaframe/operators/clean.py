@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aulaframe.functions.columns import level_rank
-from aulaframe.operators.ranking import exact_quantiles
+from aulaframe.operators.ranking import exact_quantiles, fit
 
-MAX_LOOKUP_ROWS = 1_000_000  # broadcast bound for lookup tables (checked)
+MAX_LOOKUP_ROWS = 1_000_000  # lookup tables are measured up to so many rows
 
 
 def filter_sector(df: DataFrame, col: str, sector: str) -> DataFrame:
@@ -20,9 +20,9 @@ def filter_sector(df: DataFrame, col: str, sector: str) -> DataFrame:
 
 
 def small_side(lookup: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
-    """Broadcast a lookup table only after checking it is small."""
-    n = lookup.limit(max_rows + 1).count()
-    return F.broadcast(lookup) if n <= max_rows else lookup
+    """Broadcast a lookup table only after measuring that it is small, in rows
+    and in bytes."""
+    return fit(lookup, max_rows)
 
 
 def recode(df: DataFrame, col: str, mapping: DataFrame, src: str = "src", dst: str = "dst",
@@ -60,9 +60,10 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean",
     if strategy == "mean":
         stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first().asDict()
     elif strategy == "median":
-        # distributed exact median (no single task holds the column)
-        stats = {c: exact_quantiles(df.select(F.col(c).cast("double").alias(c)), c, [0.5],
-                                    names=[c]).first()[c] for c in cols}
+        # one selection over all columns (no single task holds a column)
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "_column", "_value")
+        rows = exact_quantiles(long, "_value", [0.5], ["_column"], ["_median"]).collect()  # one row a column
+        stats = dict.fromkeys(cols) | {r["_column"]: r["_median"] for r in rows}
     else:
         raise ValueError(strategy)
     return df.withColumns({f"{c}{suffix}": F.coalesce(F.col(c).cast("double"), F.lit(stats[c]).cast("double"))

@@ -4,8 +4,9 @@ Conventions
 - Scores arrive in long form (``module``, ``score``) built with ``unpivot``,
   so one aggregation pass serves every module.
 - Quantiles are exact with linear interpolation. ``method`` chooses how:
-  ``"rank"`` (default at every size) - distributed exact order statistics
-  (:mod:`aulaframe.operators.ranking`): no group is ever held in one task;
+  ``"rank"`` (default at every size) - radix selection
+  (:mod:`aulaframe.operators.ranking`): groups x slices counters are shuffled,
+  no group is ever held in one task;
   ``"map"`` - Spark's ``percentile`` in the same pass as the moments; its
   per-group buffer is a value -> count map, fine when the domain is small
   (scores on a 0-300 integer scale) but unbounded for continuous measures,
@@ -31,10 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aulaframe.operators.ranking import exact_quantiles
-from aulaframe.session import checkpoint_dir
-
-MAX_BROADCAST_GROUPS = 1_000_000  # per-group summary rows broadcast only below this (counted)
+from aulaframe.operators.ranking import cut, exact_quantiles, fit, join_on_keys
 
 QUARTILES = [0.25, 0.5, 0.75]
 DEFAULT_METHOD = "rank"
@@ -60,29 +58,15 @@ def quantiles(x: str | Column, probs: Sequence[float], approx: bool = False,
     return F.percentile(c, arr)
 
 
-def join_on_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join two per-group tables on their keys, NULL keys matching NULL."""
-    keys = list(keys)
-    if not keys:
-        raise ValueError("join_on_keys needs at least one key")
-    br = b.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in b.columns if c not in keys])
-    cond = None
-    for k in keys:
-        e = a[k].eqNullSafe(br[f"_k_{k}"])
-        cond = e if cond is None else cond & e
-    return a.join(br, cond, how).drop(*[f"_k_{k}" for k in keys])
-
-
 def aggregate_with_quantiles(long: DataFrame, keys: Sequence[str], value: str, aggs: Sequence[Column],
                              probs: Sequence[float], names: Sequence[str],
                              method: str = DEFAULT_METHOD) -> DataFrame:
-    """Per-group aggregates plus exact quantiles: the moments pass joined
-    with the distributed quantile table, or ONE aggregation pass with the
+    """Per-group aggregates plus exact quantiles: the moments come with the
+    first pass of the selection, or everything from ONE aggregation with the
     ``map`` and ``approx`` methods."""
     keys = list(keys)
     if method == "rank":
-        m = long.groupBy(*keys).agg(*aggs)
-        return join_on_keys(m, exact_quantiles(long, value, probs, keys, names), keys, "left")
+        return exact_quantiles(long, value, probs, keys, names, aggs)
     q = quantiles(value, probs, approx=(method == "approx"))
     out = long.groupBy(*keys).agg(*aggs, q.alias("_q"))
     return out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]).drop("_q")
@@ -93,9 +77,7 @@ def quantile_table(long: DataFrame, keys: Sequence[str], value: str, probs: Sequ
     """One row per group with the requested quantiles as columns."""
     keys = list(keys)
     if method == "rank":
-        q = exact_quantiles(long, value, probs, keys, names)
-        # groups without a value have no quantiles, but they are groups
-        return join_on_keys(long.select(*keys).distinct(), q, keys, "left") if keys else q
+        return exact_quantiles(long, value, probs, keys, names)
     q = quantiles(value, probs, approx=(method == "approx"))
     return long.groupBy(*keys).agg(q.alias("_q")).select(
         *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
@@ -138,12 +120,16 @@ def concentration(df: DataFrame, col: str) -> DataFrame:
 # --------------------------------------------------------------- descriptive
 
 def describe(long: DataFrame, by: str | Sequence[str] | None = None,
-             value: str = "score", key: str = "module", method: str = DEFAULT_METHOD) -> DataFrame:
+             value: str = "score", key: str = "module", method: str = DEFAULT_METHOD,
+             quartiles: bool = True) -> DataFrame:
     """n, mean, sd, min, Q1, median, Q3, max per ``key`` (and ``by``).
-    Moments come from one pass of partial/final hash aggregation."""
+    Moments come from one pass of partial/final hash aggregation; without
+    ``quartiles`` there is no other."""
     keys = _cols(by) + [key]
     mom = [F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"),
            F.min(value).alias("min"), F.max(value).alias("max")]
+    if not quartiles:
+        return long.groupBy(*keys).agg(*mom)
     qn = ["q1", "median", "q3"]
     out = aggregate_with_quantiles(long, keys, value, mom, QUARTILES, qn, method)
     return out.select(*keys, "n", "mean", "sd", "min", "q1", "median", "q3", "max")
@@ -210,51 +196,41 @@ def box_stats(long: DataFrame, by: str | Sequence[str] | None = None,
     """Box-plot statistics: quartiles, IQR, fences Q1-k*IQR / Q3+k*IQR,
     whiskers (extreme values inside the fences) and outlier counts.
 
-    Everything is computed from the (group, value, multiplicity) table:
-    quartiles per group (small table), then that table joined back on the
-    group keys (AQE broadcasts it once its real size is known) and the
-    fences evaluated with multiplicity-weighted conditional aggregates. Raw
-    rows are aggregated once and never joined.
+    Quartiles, n and extremes come from the selection; one more scan, with the
+    fences of each group joined to it, counts what lies outside and finds the
+    whiskers by conditional aggregates.
     """
     keys = _cols(by) + [key]
     qn = ["q1", "median", "q3"]
-    checkpoint_dir(long.sparkSession)
-    if method == "rank":
-        # one row a group for its NULL values, so that every group is kept
-        src = long.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
-        q = exact_quantiles(src.filter(F.col(value).isNotNull()), value, QUARTILES, keys, qn, counted=True)
-    else:
-        src = long.select(*keys, value, F.lit(1).cast("bigint").alias("_c"))
-        q = quantile_table(long, keys, value, QUARTILES, qn, method)
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
-         .withColumn("lo_fence", F.col("q1") - F.lit(k) * F.col("iqr")) \
-         .withColumn("hi_fence", F.col("q3") + F.lit(k) * F.col("iqr"))
-    # one row per group: materialise, count, and broadcast it when small so
-    # the (large) value side is never shuffled for this join
-    q = q.checkpoint(eager=True)
-    groups = q.count()
-    j = join_on_keys(src, F.broadcast(q) if groups <= MAX_BROADCAST_GROUPS else q, keys, "left")
-    v, c = F.col(value), F.col("_c")
-    zero = F.lit(0).cast("bigint")
-    return j.groupBy(*keys, "q1", "median", "q3", "iqr", "lo_fence", "hi_fence").agg(
-        F.coalesce(F.sum(F.when(v.isNotNull(), c)), zero).alias("n"),
+    aggs = [F.count(value).alias("n"), F.min(value).alias("min"), F.max(value).alias("max")]
+    q = aggregate_with_quantiles(long, keys, value, aggs, QUARTILES, qn, method)
+    q = cut(q.withColumn("iqr", F.col("q3") - F.col("q1"))
+            .withColumn("lo_fence", F.col("q1") - F.lit(k) * F.col("iqr"))
+            .withColumn("hi_fence", F.col("q3") + F.lit(k) * F.col("iqr")))
+    j = join_on_keys(long.select(*keys, value), fit(q.select(*keys, "lo_fence", "hi_fence")), keys, "left")
+    v = F.col(value)
+    sides = j.groupBy(*keys).agg(
         F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_lo"),
         F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_hi"),
-        F.sum(F.when(v < F.col("lo_fence"), c).otherwise(zero)).alias("n_out_lo"),
-        F.sum(F.when(v > F.col("hi_fence"), c).otherwise(zero)).alias("n_out_hi"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"))
+        F.count_if(v < F.col("lo_fence")).alias("n_out_lo"),
+        F.count_if(v > F.col("hi_fence")).alias("n_out_hi"))
+    return join_on_keys(sides, q, keys, "left").select(
+        *keys, "q1", "median", "q3", "iqr", "lo_fence", "hi_fence", "n", "whisker_lo", "whisker_hi",
+        "n_out_lo", "n_out_hi", "min", "max")
 
 
 # -------------------------------------------------------------------- trends
 
 def trend(long: DataFrame, time: str = "year", value: str = "score",
-          key: str = "module", method: str = DEFAULT_METHOD) -> DataFrame:
+          key: str = "module", method: str = DEFAULT_METHOD, median: bool = True) -> DataFrame:
     """Mean and median per module and time unit (both: the reference's
-    'improvement' claims differ between the two)."""
+    'improvement' claims differ between the two; ``median=False`` leaves the
+    latter out)."""
     keys = [key, time]
-    return aggregate_with_quantiles(long, keys, value, [F.count(value).alias("n"), F.avg(value).alias("mean")],
-                                    [0.5], ["median"], method)
+    aggs = [F.count(value).alias("n"), F.avg(value).alias("mean")]
+    if not median:
+        return long.groupBy(*keys).agg(*aggs)
+    return aggregate_with_quantiles(long, keys, value, aggs, [0.5], ["median"], method)
 
 
 def trend_change(tr: DataFrame, time: str = "year", key: str = "module",

@@ -78,7 +78,7 @@ SELECT (SELECT module FROM desc_m ORDER BY mean DESC, module LIMIT 1) AS best,
        max(mean) AS best_mean, min(mean) AS worst_mean, max(mean) - min(mean) AS gap
 FROM desc_m""")
 def module_gap(spark, sf_dir):
-    return U.module_gap(U.describe(score_long(spark, sf_dir)))
+    return U.module_gap(U.describe(score_long(spark, sf_dir), quartiles=False))
 
 
 @register("histogram", floats=grid("lo", "hi"), ctes=SF, sql="""
@@ -101,9 +101,12 @@ BOX_COLS = grid("q1", "median", "q3", "iqr", "lo_fence", "hi_fence", "whisker_lo
 
 
 def box_sql(keys: str) -> str:
-    """Oracle text of box statistics grouped by ``keys`` (comma list)."""
+    """Oracle text of box statistics grouped by ``keys`` (comma list); a NULL
+    key is a group."""
+    own = ", ".join(f"s.{k.strip()}" for k in keys.split(","))
+    same = " AND ".join(f"s.{k.strip()} IS NOT DISTINCT FROM f.{k.strip()}" for k in keys.split(","))
     return f"""
-SELECT {keys}, f.q1, f.median, f.q3, f.iqr, f.lo_fence, f.hi_fence, count(s.score) AS n,
+SELECT {own}, f.q1, f.median, f.q3, f.iqr, f.lo_fence, f.hi_fence, count(s.score) AS n,
        min(CASE WHEN s.score >= f.lo_fence THEN s.score END) AS whisker_lo,
        max(CASE WHEN s.score <= f.hi_fence THEN s.score END) AS whisker_hi,
        CAST(count_if(s.score < f.lo_fence) AS BIGINT) AS n_out_lo, CAST(count_if(s.score > f.hi_fence) AS BIGINT) AS n_out_hi,
@@ -112,8 +115,8 @@ FROM score_long s JOIN (
   SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fence
   FROM (SELECT {keys}, quantile_cont(score, 0.25) AS q1, quantile_cont(score, 0.5) AS median,
                quantile_cont(score, 0.75) AS q3 FROM score_long GROUP BY {keys}) q0
-) f USING ({keys})
-GROUP BY {keys}, f.q1, f.median, f.q3, f.iqr, f.lo_fence, f.hi_fence"""
+) f ON {same}
+GROUP BY {own}, f.q1, f.median, f.q3, f.iqr, f.lo_fence, f.hi_fence"""
 
 
 @register("box_stats", floats=BOX_COLS, ctes=SL, sql=box_sql("module"))
@@ -143,7 +146,7 @@ SELECT module, year, mean,
   - first_value(mean) OVER (PARTITION BY module ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS total_change
 FROM trend_y""")
 def yearly_change(spark, sf_dir):
-    return U.trend_change(U.trend(score_long(spark, sf_dir), "year"), "year")
+    return U.trend_change(U.trend(score_long(spark, sf_dir), "year", median=False), "year")
 
 
 @register("trend_summary", floats=("volatility",), ctes=SL + (TREND_SQL,), sql="""
@@ -162,4 +165,4 @@ FROM (
         FROM trend_y) d
   GROUP BY module) s""")
 def trend_summary(spark, sf_dir):
-    return U.trend_summary(U.trend(score_long(spark, sf_dir), "year"), "year")
+    return U.trend_summary(U.trend(score_long(spark, sf_dir), "year", median=False), "year")

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from aulaframe.operators.ranking import rows_below
+from aulaframe.operators.ranking import with_row_number
 
 
 # The sheet-grid layout of exported budget workbooks.
@@ -71,18 +71,14 @@ def plan_renames(catalog: DataFrame, token_map: DataFrame, token: str = "token",
                  order: str = "origin") -> DataFrame:
     """Canonical names: '<CATEGORY>_<year><ext>', and ' (2)', ' (3)', ...
     for later files (by ``order``, NULL last, then ``path``) that would get the
-    same name. The clash ordinal is a distributed rank (see
-    :func:`rows_below`); only files that also share ``order`` are numbered by a
-    window."""
+    same name. The clash ordinal is a distributed row number (see
+    :func:`~aulaframe.operators.ranking.with_row_number`): files of one name,
+    with or without ``order``, are dealt over tasks. A file without a year is
+    numbered among those of its category and extension, but has no name."""
     j = catalog.join(token_map, token, "inner")
     base = F.concat(F.col("category"), F.lit("_"), F.col("year").cast("string"))
-    j = j.withColumn("_base", F.concat(base, F.col("ext")))
-    known = j.groupBy("_base").agg(F.count(order).alias("_known"))
-    rk = rows_below(j.filter(F.col(order).isNotNull()).select("_base", order), order, by=["_base"]).select("_base", order, "_below")
-    j = j.join(known, "_base", "left").join(rk, ["_base", order], "left")
-    ties = Window.partitionBy("_base", order).orderBy("path")
-    k = F.coalesce("_below", "_known", F.lit(0)) + F.row_number().over(ties)
-    j = j.withColumn("_k", k)
+    j = with_row_number(j.withColumn("_base", F.concat(base, F.col("ext"))), ["category", "year", "ext"],
+                        [F.col(order).isNull(), F.col(order), F.col("path")], "_k")
     k = F.col("_k")
     final = F.when(k == 1, F.col("_base")).otherwise(
         F.concat(base, F.lit(" ("), k.cast("string"), F.lit(")"), F.col("ext")))
