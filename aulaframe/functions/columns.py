@@ -7,6 +7,7 @@ an external SQL engine (the DuckDB oracle) without re-deriving it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -125,3 +126,38 @@ def years_between(c: str | Column, first: int, last: int) -> Column:
 def money(c: str | Column) -> Column:
     """Money as an exact two-decimal value so that sums do not drift."""
     return col_of(c).cast("decimal(18,2)")
+
+
+def chi_square_sf(x: str | Column, dof: str | Column) -> Column:
+    """P(X >= x) for a chi-square variable: the regularised upper incomplete
+    gamma function Q(dof / 2, x / 2), by its power series below dof / 2 + 1 and
+    its continued fraction above. NULL without degrees of freedom. The number of
+    steps grows with the root of ``dof``; each stops once it changes nothing."""
+    a, y = col_of(dof) / F.lit(2.0), col_of(x) / F.lit(2.0)
+    half = col_of(dof) % 2 == 1
+    first = F.when(half, F.lit(0.5)).otherwise(F.lit(1.0))
+    # ln gamma(a): whole steps up from gamma(1/2) or gamma(1)
+    steps = F.transform(F.sequence(F.lit(1), F.greatest(F.floor(a - first), F.lit(1)).cast("int")), lambda i: F.when(
+        i <= a - first, F.ln(first + i - 1)).otherwise(F.lit(0.0)))
+    ln_gamma = F.aggregate(steps, F.when(half, F.ln(F.lit(math.pi)) / 2).otherwise(F.lit(0.0)), lambda s, t: s + t)
+    front = F.exp(a * F.ln(y) - y - ln_gamma)
+    turns = F.sequence(F.lit(1), (F.lit(60) + F.ceil(F.sqrt(a) * 12)).cast("int"))
+
+    def series(s, n):
+        term = s["t"] * y / (a + n)
+        return F.when(s["t"] < s["s"] * 1e-17, s).otherwise(F.struct(term.alias("t"), (s["s"] + term).alias("s")))
+
+    lower = F.aggregate(turns, F.struct((F.lit(1.0) / a).alias("t"), (F.lit(1.0) / a).alias("s")), series, lambda s: s["s"])
+
+    def fraction(s, i):  # modified Lentz; for y >= a + 1 no denominator vanishes
+        part = (a - i) * i
+        b = s["b"] + 2
+        d, c = F.lit(1.0) / (b + part * s["d"]), b + part / s["c"]
+        return F.when(F.abs(s["e"] - 1) < 1e-16, s).otherwise(
+            F.struct(b.alias("b"), c.alias("c"), d.alias("d"), (s["h"] * d * c).alias("h"), (d * c).alias("e")))
+
+    b0 = y + 1 - a
+    upper = F.aggregate(turns, F.struct(b0.alias("b"), F.lit(1e300).alias("c"), (F.lit(1.0) / b0).alias("d"), (F.lit(1.0) / b0).alias("h"), F.lit(0.0).alias("e")),
+                        fraction, lambda s: s["h"])
+    return F.when(col_of(dof) <= 0, F.lit(None).cast("double")).when(y <= 0, F.lit(1.0)) \
+        .when(y < a + 1, F.lit(1.0) - front * lower).otherwise(front * upper)

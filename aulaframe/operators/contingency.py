@@ -1,19 +1,23 @@
 """Category x category analyses (contingency tables, chi-square).
 
 Tables are aggregated first (one row per observed cell); margins come from
-windows over that small table. The chi-square statistic uses
-    chi2 = sum over observed cells of o^2 / e  -  n
-which equals the textbook sum over the FULL grid of (o-e)^2/e (empty cells
-contribute e to both), so no grid of all level pairs is ever materialised.
+windows over that small table. The chi-square statistic sums (o - e)^2 / e over
+the observed cells and adds what the empty ones expect, n - sum(e): the textbook
+sum over the full grid, of which no table is made. Several attribute pairs are
+counted in one scan (``chi_square_pairs``); p-values are column expressions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aulaframe.functions.columns import chi_square_sf
+from aulaframe.operators.ranking import cut
+
 MAX_PIVOT_LEVELS = 1000
 
 
@@ -92,6 +96,32 @@ def chi_square_of(ct: DataFrame, a: str, b: str) -> DataFrame:
     return s.withColumn("dof", (F.col("rows") - 1) * (F.col("cols") - 1))
 
 
+def chi_square_pairs(df: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """Chi-square test of every pair of attributes: var_a, var_b, chi2, n, rows,
+    cols, dof, p_value, cramers_v. One scan: each row counts in one cell of each
+    pair, summed before the single shuffle of cells; margins and totals come
+    from the cells. A row counts in the pairs whose two values it has; a pair
+    without such rows has no row, one with a single level on a side dof 0 and
+    no p-value."""
+    level = lambda c: F.col(c).cast("string")
+    pairs = F.array(*[F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), level(a).alias("level_a"), level(b).alias("level_b"))
+                      for a, b in combinations(attributes, 2)])
+    pair = ["var_a", "var_b"]
+    cells = cut(df.select(F.explode(pairs).alias("c")).select("c.*").filter("level_a is not null and level_b is not null")
+                .groupBy(*pair, "level_a", "level_b").agg(F.count(F.lit(1)).alias("n")))
+    side = lambda c, total: cells.groupBy(*pair, c).agg(F.sum(F.col("n").cast("double")).alias(total))
+    by_a, by_b = side("level_a", "na"), side("level_b", "nb")
+    size = cells.groupBy(*pair).agg(F.sum("n").alias("n_all"))
+    e = F.col("na") * F.col("nb") / F.col("n_all")
+    joined = cells.join(by_a, [*pair, "level_a"]).join(by_b, [*pair, "level_b"]).join(size, pair).withColumn("e", e)
+    stat = joined.groupBy(*pair).agg(
+        (F.sum((F.col("n") - F.col("e")) * (F.col("n") - F.col("e")) / F.col("e")) + F.first("n_all") - F.sum("e")).alias("chi2"),
+        F.first("n_all").alias("n"))
+    counted = stat.join(by_a.groupBy(*pair).agg(F.count(F.lit(1)).alias("rows")), pair).join(by_b.groupBy(*pair).agg(F.count(F.lit(1)).alias("cols")), pair)
+    tested = counted.withColumn("dof", (F.col("rows") - 1) * (F.col("cols") - 1))
+    return cramers_v(tested.withColumn("p_value", chi_square_sf("chi2", "dof"))).select(*pair, "chi2", "n", "rows", "cols", "dof", "p_value", "cramers_v")
+
+
 def cramers_v(chi: DataFrame) -> DataFrame:
     """Cramer's V = sqrt(chi2 / (n * min(r-1, c-1)))."""
     k = F.least(F.col("rows") - 1, F.col("cols") - 1)

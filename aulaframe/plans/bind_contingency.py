@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
+from aulaframe.functions.columns import chi_square_sf
 from aulaframe.operators import contingency as C
 from aulaframe.plans.registry import register
 from aulaframe.plans.views import SCORE_FACT_SQL, score_fact
@@ -65,10 +68,42 @@ def chi_square_stat(spark, sf_dir):
     return C.chi_square(score_fact(spark, sf_dir), "stratum", "character")
 
 
-@register("chi_square_p")
+def p_sql(chi2: str, dof: str) -> str:
+    """DuckDB's own p-value: the finite sums for whole and half degrees; the
+    tail of one degree by the trapezoid rule on Craig's form of erfc."""
+    y = f"({chi2} / 2)"
+    term = lambda h: f"list_transform(range(0, ({dof}) // 2), lambda i: exp((i + {h}) * ln({y}) - {y} - lgamma(i + {h} + 1)))"
+    erfc = (f"(list_sum(list_transform(range(1, 2000), lambda j: exp(-{y} / pow(sin(pi() * j / 4000), 2)))) + exp(-{y}) / 2) / 2000")
+    return (f"CASE WHEN {dof} <= 0 THEN NULL WHEN {chi2} <= 0 THEN 1.0 WHEN {dof} % 2 = 0 THEN list_sum({term(0)}) "
+            f"ELSE {erfc} + coalesce(list_sum({term(0.5)}), 0) END")
+
+
+@register("chi_square_p", floats=("chi2", "p_value"), ctes=SF + (CHI_SQL,),
+          sql=f"SELECT chi2, dof, {p_sql('chi2', 'dof')} AS p_value FROM chi")
 def chi_square_p(spark, sf_dir):
-    """p-value needs the chi-square distribution: pyspark.ml, no SQL oracle."""
-    return C.chi_square_test(score_fact(spark, sf_dir), "stratum", "character")
+    t = C.chi_square(score_fact(spark, sf_dir), "stratum", "character")
+    return t.select("chi2", "dof", chi_square_sf("chi2", "dof").alias("p_value"))
+
+
+PAIRED = ["sex", "ethnicity", "stratum", "character", "method", "segment"]
+# every pair on its own, over the full grid of levels
+PAIRS_SQL = "\nUNION ALL ".join(f"""
+SELECT '{a}' AS var_a, '{b}' AS var_b, sum((coalesce(o.n, 0) - g.e) * (coalesce(o.n, 0) - g.e) / g.e) AS chi2,
+       any_value(g.n_all) AS n, any_value(g.r) AS rows, any_value(g.c) AS cols, (any_value(g.r) - 1) * (any_value(g.c) - 1) AS dof
+FROM (SELECT ra.{a} AS a, cb.{b} AS b, ra.n * cb.n / t.n_all AS e, t.*
+      FROM (SELECT {a}, count(*) AS n FROM score_fact WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1) ra,
+           (SELECT {b}, count(*) AS n FROM score_fact WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1) cb,
+           (SELECT count(*) AS n_all, count(DISTINCT {a}) AS r, count(DISTINCT {b}) AS c FROM score_fact
+            WHERE {a} IS NOT NULL AND {b} IS NOT NULL) t) g
+LEFT JOIN (SELECT {a} AS a, {b} AS b, count(*) AS n FROM score_fact GROUP BY 1, 2) o ON o.a = g.a AND o.b = g.b
+HAVING count(*) > 0""" for a, b in combinations(PAIRED, 2))
+
+
+@register("chi_square_pairs", floats=("chi2", "p_value", "cramers_v"), ctes=SF, sql=f"""
+SELECT *, {p_sql('chi2', 'dof')} AS p_value, CASE WHEN least(rows, cols) > 1 THEN sqrt(chi2 / (n * least(rows - 1, cols - 1))) END AS cramers_v
+FROM ({PAIRS_SQL}) x""")
+def chi_square_pairs(spark, sf_dir):
+    return C.chi_square_pairs(score_fact(spark, sf_dir).select(*PAIRED), PAIRED)
 
 
 @register("cramers_v", floats=("chi2", "cramers_v"), ctes=SF + (CHI_SQL,), sql="""
