@@ -87,8 +87,8 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
 
 def safe_corr(a: str | Column, b: str | Column) -> Column:
     """Pearson r as an aggregate; NULL (not an ANSI division error) when a
-    variable is constant."""
-    x, y = col_of(a), col_of(b)
+    variable is constant. Rows that lack either value don't count."""
+    x, y = F.when(col_of(b).isNotNull(), col_of(a)), F.when(col_of(a).isNotNull(), col_of(b))
     return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
 
 

@@ -147,7 +147,7 @@ def iqr_overlap(box: DataFrame, by: str, order: str | None = None, key: str = "m
     all rows per module) each group's overlap with the overall IQR is added.
     """
     order = order or by
-    w = Window.partitionBy(key).orderBy(order, by)
+    w = Window.partitionBy(key).orderBy(F.asc_nulls_last(order), F.asc_nulls_last(by))
 
     def ov(q1a, q3a, q1b, q3b):
         inter = F.greatest(F.lit(0.0), F.least(q3a, q3b) - F.greatest(q1a, q1b))
@@ -193,10 +193,11 @@ def mean_range(stats: DataFrame, by: str, key: str = "module") -> DataFrame:
     """Lowest and highest group mean per module, over all groups and over
     the groups that are not flagged small."""
     ok = F.col("small") == F.lit(False)
-    lo_all = F.min_by(F.col(by), F.struct(F.col("mean"), F.col(by)))
-    hi_all = F.min_by(F.col(by), F.struct(-F.col("mean"), F.col(by)))
-    lo_ok = F.min_by(F.when(ok, F.col(by)), F.when(ok, F.struct(F.col("mean"), F.col(by))))
-    hi_ok = F.min_by(F.when(ok, F.col(by)), F.when(ok, F.struct(-F.col("mean"), F.col(by))))
+    known = F.col("mean").isNotNull()  # a group without values is neither
+    lo_all = F.min_by(F.col(by), F.when(known, F.struct(F.col("mean"), F.col(by))))
+    hi_all = F.min_by(F.col(by), F.when(known, F.struct(-F.col("mean"), F.col(by))))
+    lo_ok = F.min_by(F.when(ok, F.col(by)), F.when(ok & known, F.struct(F.col("mean"), F.col(by))))
+    hi_ok = F.min_by(F.when(ok, F.col(by)), F.when(ok & known, F.struct(-F.col("mean"), F.col(by))))
     return stats.groupBy(key).agg(
         F.min("mean").alias("min_mean"), lo_all.alias("min_group"),
         F.max("mean").alias("max_mean"), hi_all.alias("max_group"),
@@ -228,7 +229,7 @@ def area_profile(long: DataFrame, by: str, value: str = "score", key: str = "mod
 
 def box_drift(box: DataFrame, time: str = "year", key: str = "module") -> DataFrame:
     """Change of the median between consecutive time units."""
-    w = Window.partitionBy(key).orderBy(time)
+    w = Window.partitionBy(key).orderBy(F.asc_nulls_last(time))
     return box.withColumn("median_drift", F.col("median") - F.lag("median").over(w))
 
 
@@ -238,7 +239,7 @@ def period_peaks(long: DataFrame, period: str = "period", value: str = "score",
     neighbours; the first and last periods are never peaks."""
     m = aggregate_with_quantiles(long, [key, period], value, [F.count(value).alias("n")],
                                  [0.5], ["median"], method)
-    w = Window.partitionBy(key).orderBy(period)
+    w = Window.partitionBy(key).orderBy(F.asc_nulls_last(period))
     prev, nxt = F.lag("median").over(w), F.lead("median").over(w)
     return m.select(key, period, "n", "median",
                     F.coalesce((F.col("median") > prev) & (F.col("median") > nxt), F.lit(False)).alias("peak"),

@@ -91,13 +91,13 @@ def annual_close(df: DataFrame, year: str = "year", month: str = "month",
     """Definitive annual values: the December cut, or the last month
     available (``max_by`` per year, no sort of the series)."""
     s = F.struct(F.col(month).alias("close_month"), *[F.col(c) for c in cols])
-    return df.groupBy(year).agg(F.max_by(s, F.col(month)).alias("_c")).select(year, "_c.*")
+    return df.groupBy(year).agg(F.max_by(s, F.struct(F.col(month).isNotNull(), F.col(month))).alias("_c")).select(year, "_c.*")
 
 
 def compare_years(close: DataFrame, cols: Sequence[str] = STAGES, year: str = "year") -> DataFrame:
     """Change and relative change of each annual value from the previous
     year."""
-    w = Window.orderBy(year)  # one row per year
+    w = Window.orderBy(F.asc_nulls_last(year))  # one row per year
     out = close
     for c in cols:
         prev = F.lag(c).over(w)

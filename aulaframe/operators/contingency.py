@@ -162,10 +162,10 @@ def mix_over_time(df: DataFrame, period: str, cat: str) -> DataFrame:
     occur."""
     ct = crosstab(df, period, cat)
     ct = ct.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(period)))
-    w = Window.partitionBy(cat).orderBy(period)
+    w = Window.partitionBy(cat).orderBy(F.asc_nulls_last(period))
     wc = Window.partitionBy(cat)
-    lo = F.min_by(F.col(period), F.struct(F.col("share"), F.col(period))).over(wc)
-    hi = F.min_by(F.col(period), F.struct(-F.col("share"), F.col(period))).over(wc)
+    lo = F.min_by(F.col(period), F.struct(F.col("share"), F.col(period).isNull(), F.col(period))).over(wc)
+    hi = F.min_by(F.col(period), F.struct(-F.col("share"), F.col(period).isNull(), F.col(period))).over(wc)
     return ct.select(period, cat, "n", "share",
                      (F.col("share") - F.lag("share").over(w)).alias("change"),
                      F.min("share").over(wc).alias("min_share"), lo.alias("min_period"),

@@ -87,10 +87,13 @@ def join_audit(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def yearly_cross(parts: Sequence[DataFrame], year: str = "year") -> DataFrame:
-    """Full outer join of per-year aggregates (each one row per year)."""
+    """Full outer join of per-year aggregates (each one row per year; rows
+    without a year meet)."""
     out = parts[0]
     for p in parts[1:]:
-        out = out.join(p, year, "full_outer")
+        other = p.withColumnRenamed(year, "_year")
+        out = out.join(other, F.col(year).eqNullSafe(F.col("_year")), "full_outer") \
+            .withColumn(year, F.coalesce(year, "_year")).drop("_year")
     return out
 
 

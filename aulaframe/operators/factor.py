@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,12 +64,16 @@ def _encode(df: DataFrame, num: Sequence[str], cat: Sequence[str],
             keep: Sequence[str] = ()) -> tuple[DataFrame, list[str], int, float]:
     """Encoded columns, their names, the row count and the total inertia
     (sum of the encoded columns' population variances: 1 per non-constant
-    numeric variable, 1 - p per level), all from one statistics pass."""
+    numeric variable, 1 - p per level), all from one statistics pass. A missing
+    value stands at the variable's mean (0 in each of its columns): it moves its
+    row nowhere, and the variable's inertia shrinks to the share of rows that
+    have a value. Means, deviations and shares are of these rows."""
     lv = _levels_all(df, cat)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in num:
-        aggs += [F.avg(c).alias(f"m__{c}"), F.stddev_pop(c).alias(f"s__{c}")]
+        aggs += [F.avg(c).alias(f"m__{c}"), F.stddev_pop(c).alias(f"s__{c}"), F.count(c).alias(f"n__{c}")]
     for c in cat:
+        aggs.append(F.count(c).alias(f"n__{c}"))
         for i, v in enumerate(lv[c]):
             aggs.append(F.count_if(F.col(c).cast("string") == F.lit(v)).alias(f"p__{c}__{i}"))
     st = df.agg(*aggs).first().asDict()
@@ -76,17 +81,18 @@ def _encode(df: DataFrame, num: Sequence[str], cat: Sequence[str],
     exprs, names, total = [], [], 0.0
     for c in num:
         m, sd = st[f"m__{c}"], st[f"s__{c}"]
-        exprs.append(((F.col(c) - F.lit(m)) / F.lit(sd if sd else 1.0)).alias(f"z_{c}"))
+        z = (F.col(c) - F.lit(m).cast("double")) / F.lit(sd if sd else 1.0)
+        exprs.append(F.coalesce(z, F.lit(0.0)).alias(f"z_{c}"))
         names.append(f"z_{c}")
-        total += 1.0 if sd else 0.0
+        total += st[f"n__{c}"] / n if sd else 0.0
     for c in cat:
         for i, v in enumerate(lv[c]):
-            p = st[f"p__{c}__{i}"] / n
+            p = st[f"p__{c}__{i}"] / st[f"n__{c}"]
             name = f"i_{c}_{i}"
-            exprs.append(F.when(F.col(c).cast("string") == F.lit(v), F.lit((1 - p) / math.sqrt(p)))
+            exprs.append(F.when(F.col(c).isNull(), F.lit(0.0)).when(F.col(c).cast("string") == F.lit(v), F.lit((1 - p) / math.sqrt(p)))
                          .otherwise(F.lit(-math.sqrt(p))).alias(name))
             names.append(name)
-            total += 1.0 - p
+            total += (1.0 - p) * st[f"n__{c}"] / n
     return df.select(*keep, *exprs), names, n, total
 
 
@@ -169,22 +175,27 @@ def far_points(sc: DataFrame, model: FactorModel, keys: Sequence[str], top: int
 def variable_links(df_with_scores: DataFrame, num: Sequence[str], cat: Sequence[str],
                    dims: int = 2) -> DataFrame:
     """Link of each variable to each dimension: squared correlation for
-    numeric variables, correlation ratio eta^2 for categorical ones."""
-    parts = []
-    for j in range(1, dims + 1):
-        d = f"dim{j}"
-        if num:
-            one = df_with_scores.agg(*[(safe_corr(c, d) ** 2).alias(c) for c in num])
-            stack = ", ".join(f"'{c}', `{c}`" for c in num)
-            parts.append(one.selectExpr(f"stack({len(num)}, {stack}) AS (variable, link)")
-                         .withColumn("dimension", F.lit(j)))
-        for c in cat:
-            g = df_with_scores.groupBy(c).agg(F.count(d).alias("n"), F.avg(d).alias("m"))
-            gm, sst = df_with_scores.agg(F.avg(d), F.var_pop(d) * F.count(d)).first()
-            e = g.agg(F.try_divide(F.sum(F.col("n") * (F.col("m") - F.lit(gm)) ** 2),
-                                   F.lit(sst).cast("double")).alias("link"))
-            parts.append(e.select(F.lit(c).alias("variable"), "link", F.lit(j).alias("dimension")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    numeric variables, correlation ratio eta^2 for categorical ones (rows
+    without the value don't count). One scan: score sums for every level of
+    every categorical variable and for all rows at once (grouping sets), summed
+    before the shuffle; all else is arithmetic on that table."""
+    dim = [f"dim{j}" for j in range(1, dims + 1)]
+    sums = [F.count(F.lit(1)).alias("n")]
+    for d in dim:
+        sums += [F.sum(d).alias(f"s_{d}"), F.sum(F.col(d) * F.col(d)).alias(f"q_{d}"), *[(safe_corr(c, d) ** 2).alias(f"r_{d}_{i}") for i, c in enumerate(num)]]
+    sets = [[c] for c in cat] + [[]]
+    g = df_with_scores.groupingSets(sets, *cat).agg(*sums, *[F.grouping(c).alias(f"g_{i}") for i, c in enumerate(cat)]) if cat else df_with_scores.agg(*sums)
+    links = []
+    for j, d in enumerate(dim, start=1):
+        for i, c in enumerate(num):
+            whole = reduce(lambda x, y: x & y, [F.col(f"g_{k}") == 1 for k in range(len(cat))], F.lit(True))
+            links.append((c, j, F.max(F.when(whole, F.col(f"r_{d}_{i}")))))
+        for i, c in enumerate(cat):
+            own = (F.col(f"g_{i}") == 0) & F.col(c).isNotNull()
+            total = lambda x, own=own: F.sum(F.when(own, x))
+            n, s_, q = total(F.col("n")), total(F.col(f"s_{d}")), total(F.col(f"q_{d}"))
+            between = total(F.col(f"s_{d}") * F.col(f"s_{d}") / F.col("n")) - s_ * s_ / n
+            links.append((c, j, F.try_divide(between, q - s_ * s_ / n)))
+    one = g.agg(*[e.alias(f"l_{k}") for k, (_, _, e) in enumerate(links)])
+    rows = ", ".join(f"'{c}', `l_{k}`, {j}" for k, (c, j, _) in enumerate(links))
+    return one.selectExpr(f"stack({len(links)}, {rows}) AS (variable, link, dimension)")

@@ -16,10 +16,15 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aulaframe.operators.ranking import join_on_keys
+
+UNKNOWN_KEY = -1  # of the member that stands for late and missing ones
+
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep one row per key: the greatest by ``order`` (lexicographic,
@@ -52,32 +57,46 @@ def build_dim(df: DataFrame, cols: Sequence[str], key: str | None = None,
     return d
 
 
-def build_fact(stage: DataFrame, dims: dict[str, tuple[DataFrame, Sequence[str]]],
+def key_collisions(dim: DataFrame, key: str) -> DataFrame:
+    """Surrogate keys that several different members share: key, members."""
+    members = dim.select(key, F.struct(*[F.col(c) for c in dim.columns if c != key]).alias("_m")).distinct()
+    return members.groupBy(key).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+
+
+def with_unknown(dim: DataFrame, key: str) -> DataFrame:
+    """The dimension and its unknown member, which facts without a member of
+    their own point to: ``UNKNOWN_KEY``, every attribute NULL."""
+    row = dim.sparkSession.range(1).select(*[
+        (F.lit(UNKNOWN_KEY) if c == key else F.lit(None)).cast(t).alias(c) for c, t in dim.dtypes])
+    return dim.unionByName(row)
+
+
+def build_fact(stage: DataFrame, dims: dict[str, tuple[DataFrame, dict[str, str], str]],
                keep: Sequence[str]) -> DataFrame:
-    """Join staging rows to dimensions on (null-safe) natural keys and keep
-    the dimension keys plus the measures in ``keep``. ``dims`` maps a
-    dimension name to (dimension, join columns)."""
+    """Looks up each dimension's key by the staged natural key and keeps the
+    columns in ``keep``. ``dims``: name of the key column in the fact ->
+    (dimension, staged column -> dimension column, key). NULL meets NULL; a row
+    without a member (late or missing) stays, with ``UNKNOWN_KEY``. A dimension
+    must have one row for each natural key."""
     f = stage
-    for _, (dim, on) in dims.items():
-        cond = None
-        for c in on:
-            e = f[c].eqNullSafe(dim[c])
-            cond = e if cond is None else cond & e
-        f = f.join(dim, cond, "inner").drop(*[dim[c] for c in on])
+    for i, (name, (dim, on, key)) in enumerate(dims.items()):
+        look = dim.select(*[F.col(d).alias(f"_d{i}_{j}") for j, d in enumerate(on.values())], F.col(key).alias(f"_key{i}"))
+        same = reduce(lambda x, y: x & y, [F.col(s).eqNullSafe(F.col(f"_d{i}_{j}")) for j, s in enumerate(on)])
+        f = f.join(look, same, "left").withColumn(name, F.coalesce(F.col(f"_key{i}"), F.lit(UNKNOWN_KEY).cast(dim.schema[key].dataType)))
     return f.select(*keep)
 
 
 def check_star(stage_rows: DataFrame, fact: DataFrame,
                dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Integrity report as (check, value) rows: fact and staging row counts,
-    orphans per dimension (fact keys missing from the dimension) and
-    duplicate keys per dimension."""
+    orphans per dimension (fact keys missing from the dimension; NULL meets
+    NULL) and duplicate keys per dimension."""
     # one pass over the fact: left joins to each dimension's DISTINCT keys
     # (so a duplicated dimension key cannot multiply fact rows) with a
     # presence flag, then a single aggregation counts rows and orphans
     f = fact.select(*{key for _, key in dims.values()})
     for name, (dim, key) in dims.items():
-        f = f.join(dim.select(key).distinct().withColumn(f"_in_{name}", F.lit(True)), key, "left")
+        f = join_on_keys(f, dim.select(key).distinct().withColumn(f"_in_{name}", F.lit(True)), [key], "left")
     counts = f.agg(F.count(F.lit(1)).alias("fact_rows"),
                    *[F.count_if(F.col(f"_in_{name}").isNull()).alias(f"orphans_{name}") for name in dims])
     names = ["fact_rows"] + [f"orphans_{name}" for name in dims]
@@ -96,10 +115,12 @@ def check_star(stage_rows: DataFrame, fact: DataFrame,
 
 def extend_dim(dim: DataFrame, new: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Add members of ``new`` whose key is not yet in ``dim`` (left anti join
-    + union): the dimension grows one year at a time without rebuilding."""
+    + union): the dimension grows one year at a time without rebuilding. NULL is
+    a key like others; of rows that repeat a key the smallest is added."""
     keys = [key] if isinstance(key, str) else list(key)
-    fresh = new.join(dim.select(*keys), keys, "left_anti")
-    return dim.unionByName(fresh, allowMissingColumns=True)
+    rest = [c for c in new.columns if c not in keys]
+    one = new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_m")).select(*keys, "_m.*") if rest else new.select(*keys).distinct()
+    return dim.unionByName(join_on_keys(one, dim.select(*keys), keys, "left_anti"), allowMissingColumns=True)
 
 
 def star_query(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]],

@@ -19,7 +19,7 @@ Conventions
 
 Definitions chosen here (the source analysis states none): box-plot fences
 at Q1 - 1.5*IQR / Q3 + 1.5*IQR with whiskers at the extreme values inside
-them (``box_stats``, parameter ``k``); concentration ordered by count desc
+them (``box_stats``, parameter ``k``); a NULL time unit or group comes last; concentration ordered by count desc
 then key (``concentration``); volatility = sample sd of the yearly values
 and a leader = highest mean of the year (``trend_summary``); the spread
 ranking reports IQR, sd, range and CV side by side (``spread_rank``).
@@ -152,8 +152,8 @@ def spread_rank(desc: DataFrame, key: str = "module") -> DataFrame:
 def module_gap(desc: DataFrame, key: str = "module") -> DataFrame:
     """Gap between the best and the worst module mean (ties -> first key)."""
     return desc.agg(
-        F.min_by(F.col(key), F.struct(-F.col("mean"), F.col(key))).alias("best"),
-        F.min_by(F.col(key), F.struct(F.col("mean"), F.col(key))).alias("worst"),
+        F.min_by(F.col(key), F.when(F.col("mean").isNotNull(), F.struct(-F.col("mean"), F.col(key)))).alias("best"),
+        F.min_by(F.col(key), F.when(F.col("mean").isNotNull(), F.struct(F.col("mean"), F.col(key)))).alias("worst"),
         F.max("mean").alias("best_mean"),
         F.min("mean").alias("worst_mean"),
         (F.max("mean") - F.min("mean")).alias("gap"))
@@ -236,7 +236,7 @@ def trend(long: DataFrame, time: str = "year", value: str = "score",
 def trend_change(tr: DataFrame, time: str = "year", key: str = "module",
                  measure: str = "mean") -> DataFrame:
     """Year-over-year change and first-to-last change of ``measure``."""
-    w = Window.partitionBy(key).orderBy(time)
+    w = Window.partitionBy(key).orderBy(F.asc_nulls_last(time))
     full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     m = F.col(measure)
     return tr.select(
@@ -251,14 +251,14 @@ def trend_summary(tr: DataFrame, time: str = "year", key: str = "module",
                   measure: str = "mean") -> DataFrame:
     """Per module: best and worst time unit, volatility (sample sd of the
     yearly values), non-decreasing flag, and how often it leads the year."""
-    w = Window.partitionBy(key).orderBy(time)
+    w = Window.partitionBy(key).orderBy(F.asc_nulls_last(time))
     lead_w = Window.partitionBy(time).orderBy(F.desc(measure), F.asc(key))
     d = tr.select(key, time, measure,
                   (F.col(measure) - F.lag(measure).over(w)).alias("_delta"),
                   (F.row_number().over(lead_w) == 1).alias("_leader"))
     out = d.groupBy(key).agg(
-        F.min_by(F.col(time), F.struct(-F.col(measure), F.col(time))).alias("best_time"),
-        F.min_by(F.col(time), F.struct(F.col(measure), F.col(time))).alias("worst_time"),
+        F.min_by(F.col(time), F.when(F.col(measure).isNotNull(), F.struct(-F.col(measure), F.col(time).isNull(), F.col(time)))).alias("best_time"),
+        F.min_by(F.col(time), F.when(F.col(measure).isNotNull(), F.struct(F.col(measure), F.col(time).isNull(), F.col(time)))).alias("worst_time"),
         F.stddev_samp(measure).alias("volatility"),
         F.bool_and(F.coalesce(F.col("_delta") >= 0, F.lit(True))).alias("non_decreasing"),
         F.count_if(F.col("_leader")).alias("times_leader"))

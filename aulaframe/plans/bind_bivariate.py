@@ -206,7 +206,7 @@ FROM (SELECT module, cell, avg(score) AS mean, count(score) < {SMALL_N} AS small
       GROUP BY module, cell) s
 GROUP BY module""")
 def group_mean_range(spark, sf_dir):
-    long = score_long(spark, sf_dir).withColumn("cell", F.concat_ws("/", "department", "core"))
+    long = score_long(spark, sf_dir).withColumn("cell", F.concat("department", F.lit("/"), "core"))
     st = B.flag_small(B.group_stats(long, "cell", median=False), SMALL_N)
     return B.mean_range(st, "cell")
 

@@ -125,7 +125,7 @@ def _orders_landed(spark, sf_dir, odd):
 
 @register("union_by_name_years", sql="""
 SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n,
-       CAST(count_if(year(o_orderdate) % 2 = 1) AS BIGINT) AS n_null_priority,
+       CAST(count_if(o_orderpriority IS NULL OR coalesce(year(o_orderdate) % 2 = 1, false)) AS BIGINT) AS n_null_priority,
        CAST(count_if(o_orderstatus IS NULL) AS BIGINT) AS n_null_status,
        CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS n_status_f,
        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total

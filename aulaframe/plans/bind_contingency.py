@@ -53,10 +53,10 @@ chi AS (
          (any_value(g.r) - 1) * (any_value(g.c) - 1) AS dof
   FROM (
     SELECT ra.stratum, cb.character, ra.ra * cb.cb / t.n_all AS e, t.n_all, t.r, t.c
-    FROM (SELECT stratum, count(*) AS ra FROM score_fact GROUP BY stratum) ra
-    CROSS JOIN (SELECT character, count(*) AS cb FROM score_fact GROUP BY character) cb
+    FROM (SELECT stratum, count(*) AS ra FROM score_fact WHERE stratum IS NOT NULL AND character IS NOT NULL GROUP BY stratum) ra
+    CROSS JOIN (SELECT character, count(*) AS cb FROM score_fact WHERE stratum IS NOT NULL AND character IS NOT NULL GROUP BY character) cb
     CROSS JOIN (SELECT count(*) AS n_all, count(DISTINCT stratum) AS r, count(DISTINCT character) AS c
-                FROM score_fact) t
+                FROM score_fact WHERE stratum IS NOT NULL AND character IS NOT NULL) t
   ) g
   LEFT JOIN (SELECT stratum, character, count(*) AS n FROM score_fact GROUP BY stratum, character) o
     ON g.stratum = o.stratum AND g.character = o.character

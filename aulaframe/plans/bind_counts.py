@@ -92,9 +92,9 @@ def join_audit(spark, sf_dir):
 SELECT coalesce(a.year, b.year, c.year) AS year, a.n_orders, b.mean_quantity, c.appropriation
 FROM (SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n_orders FROM orders GROUP BY 1) a
 FULL OUTER JOIN (SELECT CAST(year(l_shipdate) AS BIGINT) AS year, avg(l_quantity) AS mean_quantity
-                 FROM lineitem GROUP BY 1) b ON a.year = b.year
+                 FROM lineitem GROUP BY 1) b ON a.year IS NOT DISTINCT FROM b.year
 FULL OUTER JOIN (SELECT year, max(appropriation) AS appropriation FROM budget_month GROUP BY year) c
-  ON coalesce(a.year, b.year) = c.year""")
+  ON coalesce(a.year, b.year) IS NOT DISTINCT FROM c.year""")
 def yearly_cross(spark, sf_dir):
     t = Tables(spark, sf_dir)
     a = t.orders.groupBy(F.year("o_orderdate").cast("bigint").alias("year")).agg(

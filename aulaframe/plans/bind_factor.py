@@ -30,13 +30,13 @@ def _moments_sql() -> str:
     parts = []
     for c in NUM:
         parts.append(f"""SELECT '{c}' AS variable, CAST(NULL AS VARCHAR) AS level,
-  avg((s.{c} - t.m) / t.sd) AS mean, var_pop((s.{c} - t.m) / t.sd) AS var_pop
+  avg(coalesce((s.{c} - t.m) / t.sd, 0)) AS mean, var_pop(coalesce((s.{c} - t.m) / t.sd, 0)) AS var_pop
 FROM score_fact s, (SELECT avg({c}) AS m, stddev_pop({c}) AS sd FROM score_fact) t""")
     for c in CAT:
         parts.append(f"""SELECT '{c}' AS variable, lv.level,
-  avg(CASE WHEN s.{c} = lv.level THEN (1 - lv.p) / sqrt(lv.p) ELSE -sqrt(lv.p) END) AS mean,
-  var_pop(CASE WHEN s.{c} = lv.level THEN (1 - lv.p) / sqrt(lv.p) ELSE -sqrt(lv.p) END) AS var_pop
-FROM score_fact s, (SELECT {c} AS level, count(*) / (SELECT count(*) FROM score_fact) AS p
+  avg(CASE WHEN s.{c} IS NULL THEN 0 WHEN s.{c} = lv.level THEN (1 - lv.p) / sqrt(lv.p) ELSE -sqrt(lv.p) END) AS mean,
+  var_pop(CASE WHEN s.{c} IS NULL THEN 0 WHEN s.{c} = lv.level THEN (1 - lv.p) / sqrt(lv.p) ELSE -sqrt(lv.p) END) AS var_pop
+FROM score_fact s, (SELECT {c} AS level, count(*) / (SELECT count({c}) FROM score_fact) AS p
                     FROM score_fact WHERE {c} IS NOT NULL GROUP BY 1) lv
 GROUP BY lv.level""")
     return "\nUNION ALL ".join(parts)
@@ -61,14 +61,16 @@ def famd_encode_moments(spark, sf_dir):
     return one.selectExpr(f"stack({len(cols)}, {stack}) AS (variable, level, mean, var_pop)")
 
 
+_INERTIA = " + ".join([f"count({c}) / count(*)" for c in NUM] + [f"(count(DISTINCT {c}) - 1) * count({c}) / count(*)" for c in CAT])
+
+
 @register("famd_inertia", floats=("total_inertia", "eigen_sum"), ctes=(SCORE_FACT_SQL,), sql=f"""
-SELECT CAST({len(NUM)} AS DOUBLE) + """ + " + ".join(f"(count(DISTINCT {c}) - 1)" for c in CAT) + """ AS total_inertia,
-       CAST(""" + str(len(NUM)) + " AS DOUBLE) + " + " + ".join(f"(count(DISTINCT {c}) - 1)" for c in CAT) + f""" AS eigen_sum,
+SELECT CAST({_INERTIA} AS DOUBLE) AS total_inertia, CAST({_INERTIA} AS DOUBLE) AS eigen_sum,
        CAST({len(NUM)} + """ + " + ".join(f"count(DISTINCT {c})" for c in CAT) + """ AS BIGINT) AS encoded_columns
 FROM score_fact""")
 def famd_inertia(spark, sf_dir):
-    """Invariant: total inertia = #numeric + sum(levels - 1) = sum of all
-    eigenvalues."""
+    """Invariant: total inertia = #numeric + sum(levels - 1), each times the
+    share of rows that have the value, = sum of all eigenvalues."""
     model, _, cols = _famd(spark, sf_dir)
     return spark.createDataFrame([(model.total_inertia, float(sum(model.eigenvalues)), len(cols))],
                                  "total_inertia double, eigen_sum double, encoded_columns bigint")

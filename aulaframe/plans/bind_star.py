@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from aulaframe.operators import star as S
 from aulaframe.operators.clean import small_side
+from aulaframe.operators.ranking import join_on_keys
 from aulaframe.plans.registry import register
-from aulaframe.session import checkpoint_dir
+from aulaframe.plans.views import MODULES, gold
 from aulaframe.sources.tables import Tables
 
 STUDENT_KEY = ["l_orderkey", "l_linenumber"]
@@ -66,19 +67,33 @@ def dim_year_df(spark, sf_dir):
                  F.to_date(F.max("o_orderdate")).alias("last_date")))
 
 
+STAR_INPUTS = ["lineitem", "orders", "customer", "nation", "part", "supplier"]
+
+
+def staged(spark, sf_dir):
+    """The staging rows, written once for the queries that share them."""
+    return gold(spark, sf_dir, "stage", ["lineitem"], stage)
+
+
 def fact_df(spark, sf_dir, st=None):
+    """Staging rows with the keys of their dimension members."""
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     st = st if st is not None else stage(spark, sf_dir)
     f = st.join(o, st.l_orderkey == o.o_orderkey)
-    return f.select(*STUDENT_KEY,
-                    F.col("l_suppkey").alias("institution_key"),
-                    F.col("l_partkey").alias("programme_key"),
-                    F.col("o_custkey").alias("household_key"),
-                    F.year("o_orderdate").cast("bigint").alias("year"),
-                    F.col("l_quantity").alias("module1"), F.col("l_extendedprice").alias("module2"),
-                    (F.col("l_discount") + F.lit(0.0)).alias("module3"),
-                    (F.col("l_tax") + F.lit(0.0)).alias("module4"),
-                    F.col("o_totalprice").alias("module5"))
+    f = f.select("*", F.year("o_orderdate").cast("bigint").alias("year"),
+                 F.col("l_quantity").alias("module1"), F.col("l_extendedprice").alias("module2"),
+                 (F.col("l_discount") + F.lit(0.0)).alias("module3"),
+                 (F.col("l_tax") + F.lit(0.0)).alias("module4"),
+                 F.col("o_totalprice").alias("module5"))
+    dims = {"institution_key": (dim_institution_df(spark, sf_dir), {"l_suppkey": "institution_key"}, "institution_key"),
+            "programme_key": (dim_programme_df(spark, sf_dir), {"l_partkey": "programme_key"}, "programme_key"),
+            "household_key": (dim_household_df(spark, sf_dir), {"o_custkey": "household_key"}, "household_key")}
+    return S.build_fact(f, dims, [*STUDENT_KEY, *dims, "year", *MODULES])
+
+
+def written_fact(spark, sf_dir):
+    """The fact table, written once for the queries that share it."""
+    return gold(spark, sf_dir, "fact", STAR_INPUTS, lambda s, d: fact_df(s, d, staged(s, d)))
 
 
 DIMS_SQL = """
@@ -103,11 +118,14 @@ dim_year AS (
   FROM orders GROUP BY 1
 ),
 fact_scores AS (
-  SELECT s.l_orderkey, s.l_linenumber, s.l_suppkey AS institution_key, s.l_partkey AS programme_key,
-         o.o_custkey AS household_key, CAST(year(o.o_orderdate) AS BIGINT) AS year,
+  SELECT s.l_orderkey, s.l_linenumber, coalesce(di.institution_key, -1) AS institution_key,
+         coalesce(dp.programme_key, -1) AS programme_key, coalesce(dh.household_key, -1) AS household_key, CAST(year(o.o_orderdate) AS BIGINT) AS year,
          s.l_quantity AS module1, s.l_extendedprice AS module2, s.l_discount + 0.0 AS module3,
          s.l_tax + 0.0 AS module4, o.o_totalprice AS module5
   FROM stage s JOIN orders o ON s.l_orderkey = o.o_orderkey
+  LEFT JOIN dim_institution di ON di.institution_key = s.l_suppkey
+  LEFT JOIN dim_programme dp ON dp.programme_key = s.l_partkey
+  LEFT JOIN dim_household dh ON dh.household_key = o.o_custkey
 )"""
 
 STAR = (STAGE_SQL, DIMS_SQL)
@@ -167,7 +185,7 @@ def star_rollup(spark, sf_dir):
     dims = {"household": (dim_household_df(spark, sf_dir).select("household_key", "department"), "household_key"),
             "programme": (dim_programme_df(spark, sf_dir).select("programme_key", "character"), "programme_key"),
             "year": (dim_year_df(spark, sf_dir).select("year"), "year")}
-    return S.star_query(fact_df(spark, sf_dir), dims, ["department", "character", "year"],
+    return S.star_query(written_fact(spark, sf_dir), dims, ["department", "character", "year"],
                         [F.count(F.lit(1)).alias("n"), F.avg("module1").alias("mean_module1"),
                          F.avg("module5").alias("mean_module5")])
 
@@ -176,24 +194,21 @@ def star_rollup(spark, sf_dir):
 SELECT 'staging_rows' AS "check", count(*) AS value FROM stage
 UNION ALL SELECT 'fact_rows', count(*) FROM fact_scores
 UNION ALL SELECT 'orphans_student', count(*) FROM fact_scores f WHERE NOT EXISTS
-  (SELECT 1 FROM dim_student d WHERE d.l_orderkey = f.l_orderkey AND d.l_linenumber = f.l_linenumber)
+  (SELECT 1 FROM dim_student d WHERE d.l_orderkey IS NOT DISTINCT FROM f.l_orderkey AND d.l_linenumber IS NOT DISTINCT FROM f.l_linenumber)
 UNION ALL SELECT 'duplicate_keys_student', count(*) FROM
   (SELECT l_orderkey, l_linenumber FROM dim_student GROUP BY ALL HAVING count(*) > 1)
-UNION ALL SELECT 'orphans_institution', count(*) FROM fact_scores f WHERE f.institution_key NOT IN (SELECT institution_key FROM dim_institution)
+UNION ALL SELECT 'orphans_institution', count(*) FROM fact_scores f WHERE NOT EXISTS (SELECT 1 FROM dim_institution d WHERE d.institution_key IS NOT DISTINCT FROM f.institution_key)
 UNION ALL SELECT 'duplicate_keys_institution', count(*) FROM (SELECT institution_key FROM dim_institution GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'orphans_programme', count(*) FROM fact_scores f WHERE f.programme_key NOT IN (SELECT programme_key FROM dim_programme)
+UNION ALL SELECT 'orphans_programme', count(*) FROM fact_scores f WHERE NOT EXISTS (SELECT 1 FROM dim_programme d WHERE d.programme_key IS NOT DISTINCT FROM f.programme_key)
 UNION ALL SELECT 'duplicate_keys_programme', count(*) FROM (SELECT programme_key FROM dim_programme GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'orphans_household', count(*) FROM fact_scores f WHERE f.household_key NOT IN (SELECT household_key FROM dim_household)
+UNION ALL SELECT 'orphans_household', count(*) FROM fact_scores f WHERE NOT EXISTS (SELECT 1 FROM dim_household d WHERE d.household_key IS NOT DISTINCT FROM f.household_key)
 UNION ALL SELECT 'duplicate_keys_household', count(*) FROM (SELECT household_key FROM dim_household GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'orphans_year', count(*) FROM fact_scores f WHERE f.year NOT IN (SELECT year FROM dim_year)
+UNION ALL SELECT 'orphans_year', count(*) FROM fact_scores f WHERE NOT EXISTS (SELECT 1 FROM dim_year d WHERE d.year IS NOT DISTINCT FROM f.year)
 UNION ALL SELECT 'duplicate_keys_year', count(*) FROM (SELECT year FROM dim_year GROUP BY 1 HAVING count(*) > 1)""")
 def star_integrity(spark, sf_dir):
-    # staging feeds the fact, the student dimension and a row count; the fact
-    # feeds the orphan pass and the dimension joins: both are materialised
-    # once with a reliable checkpoint (shared folder), not recomputed
-    checkpoint_dir(spark)
-    st = stage(spark, sf_dir).checkpoint(eager=True)
-    fact = fact_df(spark, sf_dir, st).withColumn("student_key", F.struct(*STUDENT_KEY)).checkpoint(eager=True)
+    # staging and fact are written tables: neither is computed again here
+    st = staged(spark, sf_dir)
+    fact = written_fact(spark, sf_dir).withColumn("student_key", F.struct(*STUDENT_KEY))
     ds = dim_student_df(spark, sf_dir, st).withColumn("student_key", F.struct(*STUDENT_KEY))
     dims = {"student": (ds, "student_key"),
             "institution": (dim_institution_df(spark, sf_dir), "institution_key"),
@@ -212,10 +227,28 @@ SELECT o_custkey AS household_key,
 FROM orders GROUP BY o_custkey""")
 def dim_extend(spark, sf_dir):
     """Household dimension built from the years before 2000, then extended
-    with the households first seen in 2000 or later."""
+    with the households of all other orders, undated ones too."""
     o = Tables(spark, sf_dir).orders.select("o_custkey", F.year("o_orderdate").alias("y"))
-    base = (o.filter(F.col("y") < EXTEND_YEAR).select(F.col("o_custkey").alias("household_key"))
-            .distinct().withColumn("added", F.lit("base")))
-    new = (o.filter(F.col("y") >= EXTEND_YEAR).select(F.col("o_custkey").alias("household_key"))
-           .distinct().withColumn("added", F.lit("increment")))
+    early = F.coalesce(F.col("y") < EXTEND_YEAR, F.lit(False))
+    key = F.col("o_custkey").alias("household_key")
+    base = o.filter(early).select(key).distinct().withColumn("added", F.lit("base"))
+    new = o.filter(~early).select(key).distinct().withColumn("added", F.lit("increment"))
     return S.extend_dim(base, new, "household_key")
+
+
+@register("star_profile_rollup", floats=("mean_module1",), ctes=STAR, sql="""
+SELECT h.internet, h.segment, h.department, count(*) AS n, avg(f.module1) AS mean_module1
+FROM fact_scores f LEFT JOIN dim_household h ON f.household_key = h.household_key GROUP BY ALL""")
+def star_profile_rollup(spark, sf_dir):
+    """Households by profile: a dimension of distinct attribute rows under a
+    hashed surrogate key (collisions are looked for), looked up by the fact;
+    households without a row count under the unknown member."""
+    homes = dim_household_df(spark, sf_dir)
+    cols = ["internet", "segment", "department"]
+    profiles = S.build_dim(homes, cols, key="profile_key")
+    if not S.key_collisions(profiles, "profile_key").isEmpty():
+        raise ValueError("two household profiles share a surrogate key")
+    wide = join_on_keys(written_fact(spark, sf_dir).select("household_key", "module1"), homes, ["household_key"], "left")
+    fact = S.build_fact(wide, {"profile_key": (profiles, {c: c for c in cols}, "profile_key")}, ["profile_key", "module1"])
+    return S.star_query(fact, {"profile": (S.with_unknown(profiles, "profile_key"), "profile_key")}, cols,
+                        [F.count(F.lit(1)).alias("n"), F.avg("module1").alias("mean_module1")])

@@ -214,8 +214,7 @@ def score_long(spark: SparkSession, sf_dir: str, ids: list[str] | None = None) -
 
 SCORE_LONG_SQL = """
 score_long AS (
-  UNPIVOT score_fact ON module1, module2, module3, module4, module5
-  INTO NAME module VALUE score
+  SELECT * FROM score_fact UNPIVOT INCLUDE NULLS (score FOR module IN (module1, module2, module3, module4, module5))
 )"""
 
 

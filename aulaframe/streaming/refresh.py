@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from aulaframe.operators.ranking import join_on_keys
+
 
 def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
     (df.withColumn("epoch", F.lit(epoch_id).cast("bigint"))
@@ -55,7 +57,7 @@ def refresh(spark: SparkSession, landing: str, sink: str, checkpoint: str, schem
                 # members stored by earlier epochs (a replayed epoch sees its
                 # own previous output excluded, so the replay is identical)
                 old = old.filter(F.col("epoch") < epoch_id).select(dim_key)
-                members = members.join(old, dim_key, "left_anti")
+                members = join_on_keys(members, old, [dim_key], "left_anti")  # a NULL key is a member
             _write_epoch(members, dim_path, epoch_id)
 
     q = (stream.writeStream.foreachBatch(batch)
