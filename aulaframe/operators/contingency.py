@@ -115,10 +115,12 @@ def chi_square_pairs(df: DataFrame, attributes: Sequence[str]) -> DataFrame:
     e = F.col("na") * F.col("nb") / F.col("n_all")
     joined = cells.join(by_a, [*pair, "level_a"]).join(by_b, [*pair, "level_b"]).join(size, pair).withColumn("e", e)
     stat = joined.groupBy(*pair).agg(
-        (F.sum((F.col("n") - F.col("e")) * (F.col("n") - F.col("e")) / F.col("e")) + F.first("n_all") - F.sum("e")).alias("chi2"),
-        F.first("n_all").alias("n"))
+        F.sum((F.col("n") - F.col("e")) * (F.col("n") - F.col("e")) / F.col("e")).alias("seen"),
+        (F.first("n_all") - F.sum("e")).alias("unseen"), F.count(F.lit(1)).alias("cells"), F.first("n_all").alias("n"))
     counted = stat.join(by_a.groupBy(*pair).agg(F.count(F.lit(1)).alias("rows")), pair).join(by_b.groupBy(*pair).agg(F.count(F.lit(1)).alias("cols")), pair)
-    tested = counted.withColumn("dof", (F.col("rows") - 1) * (F.col("cols") - 1))
+    # without an empty cell nothing is added: n - sum(e) would only be rounding
+    chi2 = F.col("seen") + F.when(F.col("cells") < F.col("rows") * F.col("cols"), F.col("unseen")).otherwise(0.0)
+    tested = counted.withColumn("dof", (F.col("rows") - 1) * (F.col("cols") - 1)).withColumn("chi2", chi2)
     return cramers_v(tested.withColumn("p_value", chi_square_sf("chi2", "dof"))).select(*pair, "chi2", "n", "rows", "cols", "dof", "p_value", "cramers_v")
 
 

@@ -70,10 +70,13 @@ def chi_square_stat(spark, sf_dir):
 
 def p_sql(chi2: str, dof: str) -> str:
     """DuckDB's own p-value: the finite sums for whole and half degrees; the
-    tail of one degree by the trapezoid rule on Craig's form of erfc."""
+    tail of one degree by the series of erf below 1, else by the trapezoid rule
+    on Craig's form of erfc."""
     y = f"({chi2} / 2)"
     term = lambda h: f"list_transform(range(0, ({dof}) // 2), lambda i: exp((i + {h}) * ln({y}) - {y} - lgamma(i + {h} + 1)))"
-    erfc = (f"(list_sum(list_transform(range(1, 2000), lambda j: exp(-{y} / pow(sin(pi() * j / 4000), 2)))) + exp(-{y}) / 2) / 2000")
+    craig = f"(list_sum(list_transform(range(1, 2000), lambda j: exp(-{y} / pow(sin(pi() * j / 4000), 2)))) + exp(-{y}) / 2) / 2000"
+    series = f"1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 30), lambda j: pow(-1, j) * pow({y}, j + 0.5) / gamma(j + 1) / (2 * j + 1)))"
+    erfc = f"CASE WHEN {y} < 1 THEN {series} ELSE {craig} END"
     return (f"CASE WHEN {dof} <= 0 THEN NULL WHEN {chi2} <= 0 THEN 1.0 WHEN {dof} % 2 = 0 THEN list_sum({term(0)}) "
             f"ELSE {erfc} + coalesce(list_sum({term(0.5)}), 0) END")
 
