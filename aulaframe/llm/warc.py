@@ -9,9 +9,9 @@ Every record is a gzip member of its own. A task writes to file names of its
 own attempt in the shared folder and returns them, so leftovers of lost
 attempts are never read.
 
-Reader: archives are read by Spark (``binaryFile``; a file holds
-``RECORDS_PER_FILE`` records at most, so its size is bounded), parsed into
-records, grouped by origin id, ordered by segment number, checked for gaps and
+Reader: the names of the archives (``RECORDS_PER_FILE`` records at most each)
+are dealt to tasks, which read them as streams from the shared folder, parse
+records, and send these on compressed; they are grouped by origin id, ordered by segment number, checked for gaps and
 against the total length, and their chunked framing is decoded. Revisits take
 the payload's length from the response they refer to.
 
@@ -157,24 +157,35 @@ def parse_warc(stream) -> list[dict]:
         yield fields | {"block": block}
 
 
-def _parse(batches):
+def _parse(folder: str):
+    """Records of the archives that a task is given by name, read from the
+    shared folder as streams."""
     number = lambda x: int(x) if x else None
-    for b in batches:
-        for content in b.column(0):
-            rows, held = [], 0
-            for f in parse_warc(io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content.as_py())))):
-                if f["warc-type"] == "warcinfo":
-                    continue
-                rows.append((f["warc-record-id"], f.get("warc-segment-origin-id") or f["warc-record-id"],
-                             int(f.get("warc-segment-number", 1)), number(f.get("warc-segment-total-length")), f["warc-type"],
-                             number(f.get("x-page-id")), f.get("warc-target-uri"), number(f.get("x-refers-to-page-id")),
-                             f.get("warc-payload-digest", "").partition(":")[2], zlib.compress(f["block"], 3)))  # shuffled compressed
-                held += len(f["block"])
-                if held > 8 << 20:
+
+    def records(name):
+        fs, path = shared_fs(folder)
+        with fs.open_input_stream(f"{path}/{name}", compression=None) as raw:
+            yield from parse_warc(io.BufferedReader(gzip.GzipFile(fileobj=raw)))
+
+    def run(batches):
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                rows, held = [], 0
+                for f in records(name):
+                    if f["warc-type"] == "warcinfo":
+                        continue
+                    rows.append((f["warc-record-id"], f.get("warc-segment-origin-id") or f["warc-record-id"],
+                                 int(f.get("warc-segment-number", 1)), number(f.get("warc-segment-total-length")), f["warc-type"],
+                                 number(f.get("x-page-id")), f.get("warc-target-uri"), number(f.get("x-refers-to-page-id")),
+                                 f.get("warc-payload-digest", "").partition(":")[2], zlib.compress(f["block"], 3)))  # shuffled compressed
+                    held += len(f["block"])
+                    if held > 8 << 20:
+                        yield _batch(rows)
+                        rows, held = [], 0
+                if rows:
                     yield _batch(rows)
-                    rows, held = [], 0
-            if rows:
-                yield _batch(rows)
+
+    return run
 
 
 def _batch(rows):
@@ -208,9 +219,9 @@ def _payloads(batches):
 def read_warc(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """One row per whole record: page_id, target, record_type, refers_to,
     payload_digest, payload (null for revisits)."""
-    files = spark.read.format("binaryFile").load(folder).filter("path like '%.warc.gz'") \
-        .withColumn("file", F.element_at(F.split("path", "/"), -1)).join(manifest.select("file"), "file", "left_semi")
-    records = files.select("content").mapInArrow(_parse, _RECORDS)
+    # names are dealt to tasks, contents are read there: archives aren't shuffled
+    names = manifest.select("file").repartition(max(1, manifest.count()), "file")
+    records = names.mapInArrow(_parse(folder), _RECORDS)
     part = F.struct("segment", "block", "total_length", "warc_type", "page_id", "target", "refers_to", "payload_digest")
     whole = records.groupBy("origin_id").agg(F.array_sort(F.collect_list(part)).alias("parts"))
     first = F.col("parts")[0]
