@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aulaframe.functions.columns import level_rank
@@ -81,6 +81,63 @@ def conform(df: DataFrame, renames: Mapping[str, str] | None = None,
     return df
 
 
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def reject_reason(c: str, to: str) -> Column:
+    """Why a value doesn't cast to its declared type: ``blank``,
+    ``out_of_range`` (a number that the type doesn't hold), ``not_<type>``;
+    NULL for a value that casts and for a missing one."""
+    raw = F.col(c)
+    number = F.lit(to.startswith(NUMERIC)) & raw.cast("string").try_cast("double").isNotNull()
+    return F.when(raw.isNull() | raw.try_cast(to).isNotNull(), F.lit(None).cast("string")) \
+        .when(F.trim(raw.cast("string")) == "", "blank").when(number, "out_of_range").otherwise(f"not_{to}")
+
+
+def rejected_values(df: DataFrame, casts: Mapping[str, str], keep: Sequence[str],
+                    renames: Mapping[str, str] | None = None) -> DataFrame:
+    """What ``conform`` turns into NULL: one row for each value that doesn't
+    cast, with the columns ``keep`` (file, keys), column, raw, reason. It is
+    found where the file is read; nothing is shuffled."""
+    df = df.withColumnsRenamed(dict(renames or {}))
+    bad = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("raw"), reject_reason(c, t).alias("reason"))
+           for c, t in casts.items() if c in df.columns]
+    if not bad:
+        bad = [F.struct(F.lit("").alias("column"), F.lit("").alias("raw"), F.lit(None).cast("string").alias("reason"))]
+    return df.select(*keep, F.explode(F.filter(F.array(*bad), lambda x: x["reason"].isNotNull())).alias("_bad")).select(*keep, "_bad.*")
+
+
+def schema_inventory(parts: Mapping[str, DataFrame], declared: Mapping[str, str],
+                     renames: Mapping[str, str] | None = None) -> DataFrame:
+    """Each file set's layout against the declared one: file, column, found,
+    declared, status (``ok``, ``renamed``, ``type_differs``, ``missing``,
+    ``undeclared``), n_rows, n_null, n_rejected (values that don't cast). One
+    aggregation per file set."""
+    old = {new: name for name, new in (renames or {}).items()}
+    tables = []
+    for file, df in parts.items():
+        found = dict(df.dtypes)
+        known, aggs = {}, [F.count(F.lit(1)).alias("_n")]
+        for c, t in declared.items():
+            name = c if c in found else old.get(c)
+            if name not in found:
+                known[c] = (None, t, "missing", F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
+                continue
+            status = "type_differs" if found[name] != t else "ok" if name == c else "renamed"
+            known[c] = (found[name], t, status, F.count(name), F.count(reject_reason(name, t)))
+        for c in found:
+            if c not in declared and (renames or {}).get(c) not in declared:
+                known[c] = (found[c], None, "undeclared", F.count(c), F.lit(0).cast("bigint"))
+        for i, (_, _, _, present, rejected) in enumerate(known.values()):
+            aggs += [present.alias(f"p{i}"), rejected.alias(f"r{i}")]
+        rows = [F.struct(F.lit(file).alias("file"), F.lit(c).alias("column"), F.lit(f).cast("string").alias("found"),
+                         F.lit(t).cast("string").alias("declared"), F.lit(s).alias("status"), F.col("_n").alias("n_rows"),
+                         (F.col("_n") - F.col(f"p{i}")).alias("n_null"), F.col(f"r{i}").alias("n_rejected"))
+                for i, (c, (f, t, s, _, _)) in enumerate(known.items())]
+        tables.append(df.agg(*aggs).select(F.inline(F.array(*rows))))
+    return consolidate(tables)
+
+
 def consolidate(dfs: Sequence[DataFrame], allow_missing: bool = True) -> DataFrame:
     """UNION ALL by column name; columns absent from a part become NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)
@@ -101,15 +158,17 @@ def extract_block(cells: DataFrame, header_pattern: str, label_col: int, label:
                   ncols: int) -> DataFrame:
     """From a long cell grid (file, sheet, row, col, value): find, per file,
     the sheet whose header row matches ``header_pattern``; take the rows
-    below it, pivot columns 1..ncols, and keep the row labelled ``label``.
+    below it as columns c1..``ncols``, and keep those labelled ``label``.
 
-    All steps are joins/aggregations on (file, sheet): no per-file loop.
+    One scan: an aggregate assembles each row and notes whether it is a header;
+    only headers and labelled rows go on to the window that finds the first
+    header of their sheet. Of several values in a cell the least counts; cells
+    without a file (or sheet) are a file (or sheet) of their own.
     """
-    hdr = (cells.filter(F.col("value").rlike(header_pattern))
-           .groupBy("file", "sheet").agg(F.min("row").alias("header_row")))
-    body = cells.join(hdr, ["file", "sheet"]).filter(F.col("row") > F.col("header_row"))
-    wide = (body.groupBy("file", "sheet", "row")
-            .pivot("col", list(range(1, ncols + 1)))
-            .agg(F.first("value")))
-    wide = wide.toDF("file", "sheet", "row", *[f"c{i}" for i in range(1, ncols + 1)])
-    return wide.filter(F.col(f"c{label_col}") == F.lit(label))
+    cell = lambda i: F.min(F.when(F.col("col") == i, F.col("value")))
+    rows = cells.groupBy("file", "sheet", "row").agg(
+        F.max(F.col("value").rlike(header_pattern)).alias("_header"), *[cell(i).alias(f"c{i}") for i in range(1, ncols + 1)])
+    labelled = F.col(f"c{label_col}") == F.lit(label)
+    first = F.min(F.when(F.col("_header"), F.col("row"))).over(Window.partitionBy("file", "sheet"))
+    return rows.filter(F.col("_header") | labelled).withColumn("_first", first) \
+        .filter((F.col("row") > F.col("_first")) & labelled).drop("_header", "_first")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aulaframe.functions.columns import safe_ratio
@@ -65,6 +65,47 @@ def staff_ratios(students: DataFrame, staff: DataFrame, key: str) -> DataFrame:
                     safe_ratio("students", "staff").alias("students_per_staff"))
 
 
+def cohort_retention(df: DataFrame, unit: str, period: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Cohorts by the period in which a unit is first seen: ``by``, entry,
+    elapsed, size, active, retention, for every elapsed period up to the last
+    one of its group (0 where none came back). ``period``: whole numbers.
+
+    One shuffle by unit: a unit's rows are reduced to its periods before it, so
+    a unit with very many rows weighs as much as its periods. All else is on the
+    table of entry and elapsed periods. Rows without a period place no unit;
+    units that have no others are the cohort NULL (elapsed NULL, active = size,
+    retention NULL). A NULL unit is one unit.
+    """
+    by = list(by)
+    seen = df.select(*by, F.col(unit).alias("_unit"), period.cast("bigint").alias("_p")) \
+        .groupBy(*by, "_unit").agg(F.collect_set("_p").alias("_seen")) \
+        .withColumn("entry", F.array_min("_seen"))
+    cell = seen.select(*by, "entry", F.explode_outer("_seen").alias("_p")) \
+        .groupBy(*by, "entry", (F.col("_p") - F.col("entry")).alias("elapsed")).agg(F.count(F.lit(1)).alias("active"))
+    cohort = cell.groupBy(*by, "entry").agg(
+        F.max(F.when(F.coalesce("elapsed", F.lit(0)) == 0, F.col("active"))).alias("size"), F.max(F.col("entry") + F.col("elapsed")).alias("_last"),
+        F.map_from_entries(F.array_compact(F.collect_list(F.when(F.col("elapsed").isNotNull(), F.struct("elapsed", "active"))))).alias("_active"))
+    last = F.max("_last").over(Window.partitionBy(*by))  # one row a cohort
+    dense = cohort.withColumn("_last", last) \
+        .withColumn("elapsed", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.col("_last") - F.col("entry"))))
+    active = F.when(F.col("entry").isNull(), F.col("size")).otherwise(F.coalesce(F.try_element_at("_active", "elapsed"), F.lit(0).cast("bigint")))
+    return dense.select(*by, "entry", "elapsed", "size", active.alias("active"),
+                        F.when(F.col("entry").isNotNull(), F.try_divide(active, F.col("size"))).alias("retention"))
+
+
+def cohort_coverage(cohorts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """From the cohort table, per period: units that are new, units seen so far
+    (known), active units, those of them that came back, and coverage = active
+    / known. The cohort NULL has no period."""
+    by = list(by)
+    per = cohorts.filter(F.col("entry").isNotNull()).groupBy(*by, (F.col("entry") + F.col("elapsed")).alias("period")).agg(
+        F.sum(F.when(F.col("elapsed") == 0, F.col("size")).otherwise(0)).alias("new"), F.sum("active").alias("active"))
+    so_far = Window.partitionBy(*by).orderBy("period")  # one row a period
+    return per.withColumn("known", F.sum("new").over(so_far)) \
+        .select(*by, "period", "new", "known", "active", (F.col("active") - F.col("new")).alias("returned"),
+                F.try_divide("active", "known").alias("coverage"))
+
+
 def join_audit(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Before crossing sources of different grain: key multiplicities per
     side, matched / left-only / right-only keys, the largest multiplicity on

@@ -48,6 +48,30 @@ def variable_dictionary(df: DataFrame, meta: DataFrame | None = None,
     return out
 
 
+def variable_codes(df: DataFrame, max_codes: int = 20, frequent: float = 0.05, tracked: int = 10_000) -> DataFrame:
+    """Per column: rows, NULLs, its coding (``value=count`` in the order of the
+    values, NULL where it has more than ``max_codes`` of them), the values that
+    at least a share ``frequent`` of the rows has, and the least and greatest
+    value as examples. One scan; a column's values are counted in a mergeable
+    summary of ``tracked`` values, exact while a column has fewer than three
+    quarters as many and within a few ten-thousandths of the rows beyond."""
+    cols = df.columns
+    most = max(max_codes, int(1 / frequent)) + 2  # the summary counts NULL as a value
+    one = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[F.count(F.col(f"`{c}`")).alias(f"nonnull__{c}") for c in cols],
+                 *[F.min(F.col(f"`{c}`")).cast("string").alias(f"least__{c}") for c in cols],
+                 *[F.max(F.col(f"`{c}`")).cast("string").alias(f"greatest__{c}") for c in cols],
+                 *[F.expr(f"approx_top_k(CAST(`{c}` AS STRING), {most}, {tracked})").alias(f"top__{c}") for c in cols])
+    long = _stack(one, ["_rows"], cols, ["nonnull", "least", "greatest", "top"])
+    top = F.array_sort(F.filter("top", lambda x: x["item"].isNotNull()))
+    text = F.concat_ws("; ", F.transform(top, lambda x: F.concat(x["item"], F.lit("="), x["count"].cast("string"))))
+    often = F.filter(top, lambda x: x["count"] >= F.lit(frequent) * F.col("_rows"))
+    return long.select("variable", F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col("nonnull")).alias("n_null"),
+                       F.when(F.size(top) <= max_codes, text).alias("coding"),
+                       F.concat_ws("; ", F.transform(often, lambda x: x["item"])).alias("frequent"),
+                       F.col("least").alias("example_least"), F.col("greatest").alias("example_greatest"))
+
+
 def missing_profile(df: DataFrame, by: str | Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
     """NULL count and share per column and group."""
     by = [by] if isinstance(by, str) else list(by)

@@ -142,6 +142,54 @@ def union_by_name_years(spark, sf_dir):
                                  F.sum(money("o_totalprice")).cast("double").alias("total"))
 
 
+# Declared layout of the orders reports.
+ORDERS_LAYOUT = {"o_orderkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderpriority": "string"}
+
+
+@register("schema_drift", sql="""
+WITH p AS (SELECT *, coalesce(year(o_orderdate) % 2 = 1, false) AS odd FROM orders),
+c AS (SELECT odd, count(*) AS n, count(o_orderkey) AS k, count(o_orderstatus) AS s, count(o_totalprice) AS t, count(o_orderpriority) AS q FROM p GROUP BY odd)
+SELECT 'odd_years' AS file, l.col0 AS "column", l.col1 AS found, l.col2 AS declared, l.col3 AS status, n AS n_rows,
+       CASE l.col0 WHEN 'o_orderkey' THEN n - k WHEN 'o_orderstatus' THEN n - s WHEN 'o_totalprice' THEN n - t ELSE n END AS n_null, 0::BIGINT AS n_rejected
+FROM c, (VALUES ('o_orderkey', 'bigint', 'bigint', 'ok'), ('o_orderstatus', 'string', 'string', 'renamed'),
+                ('o_totalprice', 'string', 'double', 'type_differs'), ('o_orderpriority', NULL, 'string', 'missing')) l WHERE odd
+UNION ALL
+SELECT 'even_years', l.col0, l.col1, l.col1, 'ok', n,
+       CASE l.col0 WHEN 'o_orderkey' THEN n - k WHEN 'o_orderstatus' THEN n - s WHEN 'o_totalprice' THEN n - t ELSE n - q END, 0::BIGINT
+FROM c, (VALUES ('o_orderkey', 'bigint'), ('o_orderstatus', 'string'), ('o_totalprice', 'double'), ('o_orderpriority', 'string')) l WHERE NOT odd""")
+def schema_drift(spark, sf_dir):
+    parts = {name: _orders_landed(spark, sf_dir, odd).drop("year", "o_custkey", "o_orderdate")
+             for name, odd in (("odd_years", True), ("even_years", False))}
+    return C.schema_inventory(parts, ORDERS_LAYOUT, {"status_code": "o_orderstatus"})
+
+
+# The orders as text reports: some amounts, dates and codes are written as no
+# cast reads them.
+REPORT_TYPES = {"o_totalprice": "double", "o_orderdate": "date", "o_custkey": "int"}
+
+
+def orders_report(spark, sf_dir):
+    k, amount = F.col("o_orderkey"), money("o_totalprice").cast("string")
+    every = lambda n: k % n == 0
+    return Tables(spark, sf_dir).orders.select(
+        F.concat(F.lit("orders_"), F.year("o_orderdate").cast("string")).alias("file"), "o_orderkey",
+        F.when(every(97), "s/d").when(every(89), " ").when(every(83), F.replace(amount, F.lit("."), F.lit(","))).otherwise(amount).alias("o_totalprice"),
+        F.when(every(79), F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"),
+        F.when(every(73), F.concat(F.col("o_custkey").cast("string"), F.lit("00000000000"))).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"))
+
+
+@register("quarantine_values", sql="""
+WITH r AS (SELECT 'orders_' || year(o_orderdate) AS file, o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS amount, o_orderdate, o_custkey FROM orders)
+SELECT file, o_orderkey, 'o_totalprice' AS "column",
+       CASE WHEN o_orderkey % 97 = 0 THEN 's/d' WHEN o_orderkey % 89 = 0 THEN ' ' ELSE replace(amount, '.', ',') END AS raw,
+       CASE WHEN o_orderkey % 97 <> 0 AND o_orderkey % 89 = 0 THEN 'blank' ELSE 'not_double' END AS reason
+FROM r WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR (o_orderkey % 83 = 0 AND amount IS NOT NULL)
+UNION ALL SELECT file, o_orderkey, 'o_orderdate', strftime(o_orderdate, '%d/%m/%Y'), 'not_date' FROM r WHERE o_orderkey % 79 = 0 AND o_orderdate IS NOT NULL
+UNION ALL SELECT file, o_orderkey, 'o_custkey', o_custkey || '00000000000', 'out_of_range' FROM r WHERE o_orderkey % 73 = 0 AND o_custkey > 0""")
+def quarantine_values(spark, sf_dir):
+    return C.rejected_values(orders_report(spark, sf_dir), REPORT_TYPES, ["file", "o_orderkey"])
+
+
 @register("consolidate_months", sql="""
 SELECT CAST(year(o_orderdate) AS BIGINT) AS year, CAST(month(o_orderdate) AS BIGINT) AS month, count(*) AS n,
        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total

@@ -62,6 +62,45 @@ def count_trend(spark, sf_dir):
     return K.count_trend(_wide(spark, sf_dir), "day", ["enrolled", "graduated"])
 
 
+# weeks since Monday 1969-12-29
+WEEK_SQL = "(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) + 3) // 7"
+COHORT_SQL = f"""
+seen_weeks AS (SELECT DISTINCT event_type, user_id, {WEEK_SQL} AS week FROM events),
+entries AS (SELECT event_type, user_id, min(week) AS entry FROM seen_weeks GROUP BY 1, 2),
+cohort_sizes AS (SELECT event_type, entry, count(*) AS size FROM entries GROUP BY 1, 2),
+last_weeks AS (SELECT event_type, max(week) AS last FROM seen_weeks GROUP BY 1),
+cohorts AS (
+  SELECT c.event_type, c.entry, CAST(e.elapsed AS BIGINT) AS elapsed, c.size,
+         (SELECT count(*) FROM entries n JOIN seen_weeks w ON n.user_id IS NOT DISTINCT FROM w.user_id AND n.event_type IS NOT DISTINCT FROM w.event_type
+          WHERE n.event_type IS NOT DISTINCT FROM c.event_type AND n.entry = c.entry AND w.week = c.entry + e.elapsed) AS active
+  FROM cohort_sizes c JOIN last_weeks l ON c.event_type IS NOT DISTINCT FROM l.event_type, unnest(range(0, l.last - c.entry + 1)) AS e(elapsed)
+  WHERE c.entry IS NOT NULL
+  UNION ALL SELECT event_type, entry, NULL, size, size FROM cohort_sizes WHERE entry IS NULL
+)"""
+
+
+def _cohorts(spark, sf_dir):
+    week = F.floor((F.unix_date(F.to_date("ts")) + 3) / 7)
+    return K.cohort_retention(Tables(spark, sf_dir).events, "user_id", week, ["event_type"])
+
+
+@register("cohort_retention", floats=("retention",), ctes=(COHORT_SQL,), sql="""
+SELECT *, CASE WHEN entry IS NOT NULL THEN active / size END AS retention FROM cohorts""")
+def cohort_retention(spark, sf_dir):
+    """Weekly cohorts of users for each kind of event."""
+    return _cohorts(spark, sf_dir)
+
+
+@register("cohort_coverage", floats=("coverage",), ctes=(COHORT_SQL,), sql="""
+SELECT event_type, period, CAST("new" AS BIGINT) AS "new", CAST(known AS BIGINT) AS known, active, CAST(active - "new" AS BIGINT) AS returned, active / known AS coverage
+FROM (SELECT event_type, period, "new", active, sum("new") OVER (PARTITION BY event_type ORDER BY period) AS known
+      FROM (SELECT w.event_type, w.week AS period, count(*) AS active, count_if(n.entry = w.week) AS "new"
+            FROM seen_weeks w JOIN entries n ON n.user_id IS NOT DISTINCT FROM w.user_id AND n.event_type IS NOT DISTINCT FROM w.event_type
+            WHERE w.week IS NOT NULL GROUP BY 1, 2))""")
+def cohort_coverage(spark, sf_dir):
+    return K.cohort_coverage(_cohorts(spark, sf_dir), ["event_type"])
+
+
 @register("staff_ratios", floats=("students_per_staff",), sql="""
 SELECT coalesce(s.nation, t.nation) AS nation, coalesce(s.students, 0) AS students, coalesce(t.staff, 0) AS staff,
        coalesce(s.students, 0) / nullif(coalesce(t.staff, 0), 0) AS students_per_staff

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from aulaframe.operators import burt as BU
 from aulaframe.operators import factor as FA
 from aulaframe.plans.registry import register
 from aulaframe.plans.views import MODULES, SCORE_FACT_SQL, score_fact
@@ -76,6 +77,48 @@ def famd_inertia(spark, sf_dir):
                                  "total_inertia double, eigen_sum double, encoded_columns bigint")
 
 
+_ENCODED = " UNION ALL ".join(
+    [f"SELECT i, '{c}' AS f, ({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0) AS x FROM r" for c in NUM]
+    + [f"""SELECT r.i, '{c}:' || lv.level, CASE WHEN r.{c} IS NULL THEN 0 WHEN r.{c} = lv.level THEN (1 - lv.p) / sqrt(lv.p) ELSE -sqrt(lv.p) END
+FROM r, (SELECT {c} AS level, count(*) / (SELECT count({c}) FROM r) AS p FROM r WHERE {c} IS NOT NULL GROUP BY 1) lv""" for c in CAT])
+
+
+def _spectrum_sql(encoded: str) -> str:
+    return f"""
+WITH r AS (SELECT row_number() OVER () AS i, * FROM score_fact), x AS (SELECT i, f, coalesce(x, 0) AS x FROM ({encoded})),
+g AS (SELECT a.f AS fa, b.f AS fb, sum(a.x * b.x) / (SELECT count(*) FROM r) AS g FROM x a JOIN x b ON a.i = b.i GROUP BY 1, 2)
+SELECT sum(g) FILTER (WHERE fa = fb) AS eigen_sum, sum(g * g) AS eigen_square_sum FROM g"""
+
+
+def _spectrum(spark, model):
+    """Sum of the eigenvalues (the trace of the covariance) and of their squares
+    (the sum of its squared entries)."""
+    e = model.eigenvalues
+    return spark.createDataFrame([(float(sum(e)), float(sum(x * x for x in e)))], "eigen_sum double, eigen_square_sum double")
+
+
+@register("pca_spectrum", floats=("eigen_sum", "eigen_square_sum"), ctes=(SCORE_FACT_SQL,), sql=_spectrum_sql(" UNION ALL ".join(_ENCODED.split(" UNION ALL ")[:len(NUM)])))
+def pca_spectrum(spark, sf_dir):
+    return _spectrum(spark, FA.pca(score_fact(spark, sf_dir).select(*NUM), NUM))
+
+
+@register("famd_spectrum", floats=("eigen_sum", "eigen_square_sum"), ctes=(SCORE_FACT_SQL,), sql=_spectrum_sql(_ENCODED))
+def famd_spectrum(spark, sf_dir):
+    return _spectrum(spark, _famd(spark, sf_dir)[0])
+
+
+# variables of many levels: institutions, programme cores and territories
+WIDE_CAT = ["institution", "core", "character", "department", "region", *CAT]
+
+
+@register("famd_wide_explained")
+def famd_wide_explained(spark, sf_dir):
+    """No oracle: eigenvalues of a matrix of several hundred levels. Tests
+    compare it with the dense path; ``residual`` bounds its error."""
+    model = BU.famd_wide(score_fact(spark, sf_dir).select(*NUM, *WIDE_CAT), NUM, WIDE_CAT, k=2, tol=1e-4, max_rounds=40)
+    return BU.wide_explained(model, spark)
+
+
 @register("famd_explained")
 def famd_explained(spark, sf_dir):
     model, _, _ = _famd(spark, sf_dir)

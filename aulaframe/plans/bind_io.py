@@ -6,18 +6,21 @@ Scratch files are written under the shared folder named by
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from aulaframe.functions.columns import money, pad_code
 from aulaframe.operators.clean import extract_block
 from aulaframe.plans.bind_clean import BLOCK_LABEL, BLOCK_SQL
 from aulaframe.plans.bind_star import STAR, fact_df
-from aulaframe.plans.registry import register
+from aulaframe.plans.registry import grid, register
 from aulaframe.plans.views import CATALOG_SQL, budget_cells, catalog, token_map
 from aulaframe.session import scratch_path
 from aulaframe.sources import files as IO
 from aulaframe.sources.tables import Tables
 from aulaframe.streaming.refresh import read_sink, refresh
+from aulaframe.streaming.states import growth, summarise, value_states
 
 CUSTOMER_TEXT_SCHEMA = IO.schema_of({"c_custkey": "string", "c_name": "string", "c_nationkey": "string",
                                      "c_acctbal": "double", "c_mktsegment": "string"})
@@ -179,3 +182,42 @@ def incremental_dimension(spark, sf_dir):
     d = spark.read.parquet(dim)
     return d.select(F.when(F.col("epoch") <= first_epoch_max, F.lit("first_load"))
                     .otherwise(F.lit("second_load")).alias("load"), "o_custkey")
+
+
+STATE_PROBS = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+_G = growth()
+_PICK = ",\n       ".join(
+    f"max(CASE WHEN upto > floor({p} * (total - 1)) AND upto - n <= floor({p} * (total - 1)) THEN shown END) AS {name}" for name, p in STATE_PROBS.items())
+
+
+def run_statistics(spark, sf_dir) -> tuple[str, str]:
+    """Two loads of the orders, each leaving the states of its own rows.
+    Returns (sink, states)."""
+    landing, sink = scratch_path(spark, "landing-states"), scratch_path(spark, "states-sink")
+    states, ckpt = scratch_path(spark, "states"), scratch_path(spark, "states-ckpt")
+    o = Tables(spark, sf_dir).orders
+    early = F.coalesce(F.year("o_orderdate") <= FIRST_LOAD_LAST_YEAR, F.lit(False))
+    for load in (early, ~early):
+        o.filter(load).write.mode("append").parquet(landing)
+        refresh(spark, landing, sink, ckpt, ORDERS_SCHEMA, state_path=states,
+                states=lambda df: value_states(df, ["o_orderpriority"], "o_totalprice"))
+    return sink, states
+
+
+@register("refreshed_statistics", floats=("mean", "sd", *grid("min", "max"), *STATE_PROBS), sql=f"""
+SELECT s.o_orderpriority, s.rows, s.n, s.mean, s.sd, s.min, s.max, p.q1, p.median, p.q3 FROM (
+SELECT o_orderpriority,
+       {_PICK}
+FROM (SELECT *, least(greatest(sign * pow({_G!r}, bucket) * {2 / (1 + _G)!r}, lo), hi) AS shown,
+             sum(n) OVER (PARTITION BY o_orderpriority ORDER BY sign, sign * bucket) AS upto,
+             sum(n) OVER (PARTITION BY o_orderpriority) AS total
+      FROM (SELECT o_orderpriority, sign(o_totalprice) AS sign, CASE WHEN o_totalprice <> 0 THEN ceil(ln(abs(o_totalprice)) / {math.log(_G)!r}) ELSE 0 END AS bucket,
+                   count(*) AS n, min(o_totalprice) AS lo, max(o_totalprice) AS hi
+            FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1, 2, 3))
+GROUP BY 1) p RIGHT JOIN (
+SELECT o_orderpriority, count(*) AS rows, count(o_totalprice) AS n, avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS sd,
+       min(o_totalprice) AS min, max(o_totalprice) AS max FROM orders GROUP BY 1) s ON p.o_orderpriority IS NOT DISTINCT FROM s.o_orderpriority""")
+def refreshed_statistics(spark, sf_dir):
+    """Statistics of all loads from their states alone."""
+    _, states = run_statistics(spark, sf_dir)
+    return summarise(spark.read.parquet(states), ["o_orderpriority"], STATE_PROBS)

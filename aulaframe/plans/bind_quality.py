@@ -37,6 +37,21 @@ def variable_dictionary(spark, sf_dir):
     return Q.variable_dictionary(partial_labels(spark, sf_dir), meta, exact=True)
 
 
+def _codes_sql() -> str:
+    return "\nUNION ALL ".join(f"""SELECT '{c}' AS variable, (SELECT count(*) FROM partial_labels) AS n_rows,
+  (SELECT count(*) - count({c}) FROM partial_labels) AS n_null,
+  CASE WHEN count(*) <= 20 THEN coalesce(string_agg(v || '=' || n, '; ' ORDER BY v), '') END AS coding,
+  coalesce(string_agg(CASE WHEN n >= 0.05 * (SELECT count(*) FROM partial_labels) THEN v END, '; ' ORDER BY v), '') AS frequent,
+  (SELECT CAST(min({c}) AS VARCHAR) FROM partial_labels) AS example_least,
+  (SELECT CAST(max({c}) AS VARCHAR) FROM partial_labels) AS example_greatest
+FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM partial_labels WHERE {c} IS NOT NULL GROUP BY 1)""" for c in PL_TYPES)
+
+
+@register("variable_codes", ctes=(PARTIAL_LABELS_SQL,), sql=_codes_sql())
+def variable_codes(spark, sf_dir):
+    return Q.variable_codes(partial_labels(spark, sf_dir))
+
+
 @register("missing_profile", floats=("null_share",), ctes=(PARTIAL_LABELS_SQL,), sql="\nUNION ALL ".join(
     f"SELECT lang, count(*) AS n, '{c}' AS variable, CAST(count_if({c} IS NULL) AS BIGINT) AS nulls, "
     f"count_if({c} IS NULL) / count(*) AS null_share FROM partial_labels GROUP BY lang"

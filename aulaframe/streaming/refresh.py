@@ -15,7 +15,7 @@ already stored and written the same idempotent way.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,13 +40,17 @@ def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 
 def refresh(spark: SparkSession, landing: str, sink: str, checkpoint: str, schema: StructType,
             dim_path: str | None = None, dim_cols: Sequence[str] | None = None,
-            dim_key: str | None = None, fmt: str = "parquet") -> None:
-    """Consume every newly landed file once; append rows to ``sink`` and new
-    dimension members (``dim_cols`` keyed by ``dim_key``) to ``dim_path``."""
+            dim_key: str | None = None, fmt: str = "parquet", state_path: str | None = None,
+            states: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Consume every newly landed file once; append rows to ``sink``, new
+    dimension members (``dim_cols`` keyed by ``dim_key``) to ``dim_path``, and
+    the mergeable ``states`` of the new rows to ``state_path``."""
     stream = spark.readStream.schema(schema).format(fmt).load(landing)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         _write_epoch(df, sink, epoch_id)
+        if state_path and states:
+            _write_epoch(states(df), state_path, epoch_id)
         if dim_path and dim_cols and dim_key:
             # the smallest attributes of a key stay, so a replay gives the same member
             rest = [c for c in dim_cols if c != dim_key]
