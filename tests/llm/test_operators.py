@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from aulaframe.llm import common, exact_dedup, licenses, lm_scoring, mixing, ngram_join, packing, token_files, topk, toxicity, warc
@@ -307,3 +308,13 @@ def test_licenses(docs, none):
     assert (got[12].base_labels, got[12].labels, got[12].score) == ("mit", "mit", 1.0)
     assert (got[0].n_words, got[0].n_base, got[0].first_word, got[0].labels, got[0].score) == (0, 0, None, "", 0.0)
     assert licenses.scan(docs).count() == len(_rows()) and licenses.scan(none).count() == 0
+
+
+def test_text_filter_lets_every_wanted_text_through(spark):
+    edges = [0, 1, 32767, 32768, 32769, ngram_join.FILTER_BITS - 1]
+    wanted = spark.range(3000).select(F.xxhash64("id").alias("th")).union(spark.createDataFrame([(x,) for x in edges], "th long"))
+    has = ngram_join._wanted(wanted)
+    assert wanted.filter(~has("th")).count() == 0
+    assert spark.range(10_000, 110_000).select(F.xxhash64("id").alias("th")).filter(has("th")).count() < 50
+    assert spark.createDataFrame([(2,), (32766,), (32770,)], "th long").filter(has("th")).count() == 0
+    assert wanted.filter(ngram_join._wanted(wanted.limit(0))("th")).count() == 0
