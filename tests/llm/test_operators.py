@@ -318,3 +318,30 @@ def test_text_filter_lets_every_wanted_text_through(spark):
     assert spark.range(10_000, 110_000).select(F.xxhash64("id").alias("th")).filter(has("th")).count() < 50
     assert spark.createDataFrame([(2,), (32766,), (32770,)], "th long").filter(has("th")).count() == 0
     assert wanted.filter(ngram_join._wanted(wanted.limit(0))("th")).count() == 0
+
+
+def test_license_blocks_tell_similar_statements_apart(spark, tmp_path):
+    import duckdb
+
+    bsd = "Redistribution and use in source and binary forms, with or without\n   modification, are permitted provided that"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy"
+    work = "This work is licensed under the GNU {}General Public License version {}."
+    texts = {"Released under the Apache License.": "", "Licensed under CC BY 4.0.": "cc-by", "licensed under cc-by-nc 4.0": "cc-by-nc",
+             work.format("", 2): "gpl-2", work.format("", 3): "gpl-3", work.format("Lesser ", 3): "", bsd: "bsd", mpl: "mpl-2",
+             "x " * 5000 + bsd.replace(" ", "\n"): "bsd", "mit " * 3000 + "released under the": "mit", "mit " + "y " * 9 + "released under the license": ""}
+    r = random.Random(5)
+    words = sorted({w for _, t, *_ in licenses.TEMPLATES for w in t.split()}) + ["nc", "lesser", "zz"]
+    rows = list(texts)
+    for _, t, *_ in licenses.TEMPLATES * 6:  # statements with words dropped, changed and put in
+        w = t.split()
+        for _ in range(r.randrange(5)):
+            w[r.randrange(len(w))] = r.choice([r.choice(words), "", "zz zz"])
+        rows.append(" ".join(r.choices(words, k=r.randrange(9)) + w + r.choices(words, k=r.randrange(9))))
+    ship(spark)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {x.doc_id: x for x in licenses.scan(docs).collect()}
+    assert {t: got[i].labels for i, t in enumerate(texts)} == texts
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = con.execute(licenses.OP10_SQL).fetchall()
+    assert len(want) == len(rows) and [tuple(got[x[0]]) for x in want] == want
