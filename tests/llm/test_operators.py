@@ -287,6 +287,24 @@ def test_top_k_of_large_ids(spark, start):
     assert queries and {x.query_id for x in got} == set(queries)
 
 
+@pytest.mark.parametrize("size", [1.0, 1e6, 1e9, 1e30])
+def test_top_k_of_rows_that_repeat_ids_and_of_large_components(spark, size):
+    ship(spark)
+    r = random.Random(7)
+    rows = [(i % 50, [r.choice([-0.5, 0.25, 1.0, 3.1]) * size for _ in range(3)]) for i in range(70)]
+    rows += [rows[0], rows[20], rows[21], (20, [size, 0.0, 0.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 20 == 0, k=9, pivots=5).collect()
+    ints = [[math.floor(64 * x) for x in v] for _, v in rows]
+    long = 2 ** 63 - 1
+    dot = lambda a, b: max(-long, min(long, sum(x * y for x, y in zip(a, b))))
+    want = []
+    for n, (q, _) in enumerate(rows):
+        if q % 20 == 0:  # each row is a query, and only it isn't its own candidate
+            best = sorted((-dot(ints[n], c), i) for m, ((i, _), c) in enumerate(zip(rows, ints)) if m != n)[:9]
+            want += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_toxicity(spark, docs, none):
     r = random.Random(4)
     words = [f"w{i}" for i in range(60)]
