@@ -363,3 +363,13 @@ def test_license_blocks_tell_similar_statements_apart(spark, tmp_path):
     con.register("documents", docs.toArrow())
     want = con.execute(licenses.OP10_SQL).fetchall()
     assert len(want) == len(rows) and [tuple(got[x[0]]) for x in want] == want
+
+
+def test_tables_of_nodes_are_never_broadcast(spark):
+    ship(spark)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*words[i % 7:200 + i % 7], f"x{i % 20}"])) for i in range(60)]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.component_id for r in got.collect()} == {0}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
