@@ -107,3 +107,42 @@ def test_states_of_two_loads_equal_one_and_stay_within_their_bound(spark):
             exact = x.quantile(p, interpolation="lower")
             assert abs(r[name] - exact) <= ACCURACY * abs(exact) + 1e-12 and r[name] == one[g][name]
     assert (got[None].rows, got[None].n, got[None]["mean"], got[None]["median"]) == (1, 0, None, None)
+
+
+@pytest.mark.parametrize("narrow", [14, 0])
+def test_wide_variables_equal_the_dense_path(spark, narrow):
+    """One wide variable, and three: levels in the table of rounds, pairs of them joined."""
+    df = _mixed(spark, 900, 6).withColumn("a", F.when(F.col("id") % 11 != 0, F.col("a"))).withColumn("x", F.when(F.col("id") % 7 != 0, F.col("x")))
+    num, cat = ["x", "y"], ["a", "b", "c"]
+    dense, _, _ = FA.famd(df, num, cat)
+    wide = BU.famd_wide(df, num, cat, k=1, extra=8, max_rounds=8, narrow=narrow)
+    assert wide.total_inertia == pytest.approx(dense.total_inertia) and wide.residuals[0] < 1e-2
+    assert wide.eigenvalues[0] == pytest.approx(dense.eigenvalues[0], abs=1e-4)
+    assert {(r.variable, r.level) for r in wide.loadings.collect()} == {(c, r[0]) for c in cat for r in df.select(c).na.drop().distinct().collect()} | {("x", None), ("y", None)}
+
+
+def test_rows_are_counted_without_one_row_a_pair(spark):
+    """Thirteen variables: fewer rows leave the scan than come in (before: 91 times as many)."""
+    cat = [f"a{i}" for i in range(8)]
+    df = spark.range(4000).select(*[(F.col("id") * (2 * i + 3) % 7).alias(c) for i, c in enumerate(cat)], *[(F.col("id") * (i + 2) % 11).alias(f"x{i}") for i in range(5)])
+    num = [f"x{i}" for i in range(5)]
+    moments = {c: (5.0, 3.0) for c in num}
+    places = {i: [str(v) for v in range(7)] for i in range(8)}
+    with BU._Rounds(spark) as tables:
+        m, levels = BU._feature_rows(BU._coded(df.coalesce(1), num, cat, moments, places, []), [7] * 8, 5, [], tables)
+        assert levels is None and spark.read.parquet(tables.paths[0]).count() <= 61
+    assert m[:7, :7].sum() == 4000 and m[0, 7] == df.filter("a0 = 0 AND a1 = 0").count()
+    assert m[0, 56] == pytest.approx(df.filter("a0 = 0").agg(F.sum((F.col("x0") - 5.0) / 3.0)).first()[0])
+
+
+def test_a_level_cut_into_chunks_and_partitions_is_whole(spark, monkeypatch):
+    monkeypatch.setattr(BU, "CHUNK_ROWS", 50)  # of tasks too: the function is sent with its module's values
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 400).cast("string")).alias("l0"),
+                                  (F.col("id") % 4).cast("string").alias("l1"))
+    coded = BU._coded(df, [], ["l0", "l1"], {}, {1: ["0", "1", "2", "3"]}, [0])
+    with BU._Rounds(spark) as tables:
+        m, levels = BU._feature_rows(coded, [4], 1, [0], tables)
+        got = {(r.l, r.at): r.m for r in levels.select("l", F.explode(F.arrays_zip("at", "m")).alias("c")).groupBy("l", "c.at").agg(F.sum("c.m").alias("m")).collect()}
+    want = {(r.l0, int(r.l1)): float(r["count"]) for r in df.groupBy("l0", "l1").count().collect()}
+    want |= {(r.l0, 4): float(r["count"]) for r in df.groupBy("l0").count().collect()}
+    assert got == want and m[4, 4] == 3000
